@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from folio.llm import chat_format
+from folio.llm import chat_format, url_filter
 
 QUERIES = {
+    "op2_url_filter": url_filter.op2_url_filter,
     "op3_chat_formatting": chat_format.op3_chat_formatting,
 }
 ORACLES = {
