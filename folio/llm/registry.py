@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from folio.llm import chat_format, url_filter
+from folio.llm import chat_format, secret_scan, url_filter
 
 QUERIES = {
+    "op4_secret_scan": secret_scan.op4_secret_scan,
     "op2_url_filter": url_filter.op2_url_filter,
     "op3_chat_formatting": chat_format.op3_chat_formatting,
 }
 ORACLES = {
+    "op4_secret_scan": secret_scan.oracle_op4,
     "op3_chat_formatting": chat_format.oracle_op3,
 }
