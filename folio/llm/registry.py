@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from folio.llm import chat_format, secret_scan, url_filter
+from folio.llm import byte_bpe, chat_format, exact_dedup, secret_scan, url_filter
 
 QUERIES = {
+    "op8_exact_dedup": exact_dedup.op8_exact_dedup,
+    "op10_byte_bpe": byte_bpe.op10_byte_bpe,
     "op4_secret_scan": secret_scan.op4_secret_scan,
     "op2_url_filter": url_filter.op2_url_filter,
     "op3_chat_formatting": chat_format.op3_chat_formatting,
 }
 ORACLES = {
+    "op8_exact_dedup": exact_dedup.oracle_op8,
     "op4_secret_scan": secret_scan.oracle_op4,
     "op3_chat_formatting": chat_format.oracle_op3,
 }
