@@ -6,7 +6,8 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows in an Arrow batch. Texts can be long, so batches are small; a batch is all that a
 #: streaming operator holds of its partition.
@@ -35,6 +36,31 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def labelled_sample(rows: DataFrame, label: str, most_rows: int, most_chars: int) -> list[tuple[str, object]]:
+    """At most most_rows (text, label) of rows (doc_id, text, label), of at most most_chars characters together.
+
+    In the order of a hash of the row; texts that alone take a twentieth of the characters, or are empty,
+    are not learned from. The hash thins the rows before they are sorted, so that the driver receives
+    about twice what it keeps.
+    """
+    key = F.xxhash64("doc_id", "text")
+    rows = rows.where(F.col(label).isNotNull() & F.length("text").between(1, most_chars // 20))
+    share = min(1.0, 2 * most_rows / max(1, rows.count()))
+    thin = rows.where(F.pmod(key, F.lit(1 << 30)) < int(share * (1 << 30)))
+    out, chars = [], 0
+    for text, y in thin.orderBy(key, label).select("text", label).limit(most_rows).collect():
+        chars += len(text)
+        if chars > most_chars:
+            break
+        out.append((text, y))
+    return out
+
+
+def fold(divisor: int) -> Column:
+    """crc32 of doc_id as text (null: empty), modulo divisor."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(divisor))
+
+
 def batches_of(columns: dict[str, pa.DataType]):
     """A function that makes record batches of these columns from lists or arrays."""
     schema = pa.schema(list(columns.items()))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from folio.llm import byte_bpe, chat_format, exact_dedup, secret_scan, url_filter
+from folio.llm import byte_bpe, chat_format, exact_dedup, language_id, quality_cnn, secret_scan, url_filter
 
 QUERIES = {
+    "op9_quality_classifier": quality_cnn.op9_quality_classifier,
+    "op1_language_id": language_id.op1_language_id,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op10_byte_bpe": byte_bpe.op10_byte_bpe,
     "op4_secret_scan": secret_scan.op4_secret_scan,
