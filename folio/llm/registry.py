@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from folio.llm import byte_bpe, chat_format, exact_dedup, language_id, quality_cnn, secret_scan, url_filter
+from folio.llm import byte_bpe, chat_format, exact_dedup, language_id, packing, quality_cnn, secret_scan, topk_search, url_filter
 
 QUERIES = {
+    "op6_best_fit_packing": packing.op6_best_fit_packing,
+    "op7_topk_search": topk_search.op7_topk_search,
     "op9_quality_classifier": quality_cnn.op9_quality_classifier,
     "op1_language_id": language_id.op1_language_id,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
@@ -14,6 +16,7 @@ QUERIES = {
     "op3_chat_formatting": chat_format.op3_chat_formatting,
 }
 ORACLES = {
+    "op7_topk_search": topk_search.oracle_op7,
     "op8_exact_dedup": exact_dedup.oracle_op8,
     "op4_secret_scan": secret_scan.oracle_op4,
     "op3_chat_formatting": chat_format.oracle_op3,
