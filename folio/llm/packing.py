@@ -104,7 +104,8 @@ def fitted(histogram: np.ndarray, patterns: list[tuple[int, ...]], rounds: int =
         v = a.T @ (a @ v)
         v /= np.linalg.norm(v)
     step = 1 / (np.linalg.norm(a @ v) ** 2 * 1.05)
-    x = y = np.zeros(len(patterns))
+    # From the counts that pairs alone would have: of the many solutions, one of few patterns is near.
+    x = y = np.array([min(histogram[n] / p.count(n) for n in p) if len(p) == 2 else 0.0 for p in patterns])
     t = 1.0
     for _ in range(rounds):
         new = np.maximum(y - step * (a.T @ (a @ y - b)), 0)
@@ -113,17 +114,22 @@ def fitted(histogram: np.ndarray, patterns: list[tuple[int, ...]], rounds: int =
     return x
 
 
+#: Documents in a pattern at most, and shares of the fitted counts, that are tried: patterns of three may spend
+#: the short lengths that long ones want, and what patterns leave gives best-fit more choice.
+TRIED = ((2, 1.0), (4, 1.0), (4, 0.7), (4, 0.4))
+
+
 class Plan:
     """Intervals (length, from rank, to rank, first sequence, offset); sequences, the number of them."""
 
-    def __init__(self, histogram: np.ndarray):
-        """histogram[n]: pieces of length n; its last bin is the limit."""
+    def __init__(self, histogram: np.ndarray, counts: list[tuple[tuple[int, ...], float]]):
+        """histogram[n]: pieces of length n, its last bin is the limit; counts: patterns and how often each is used."""
         self.limit = len(histogram) - 1
         self.left = [int(x) for x in histogram]
         self.rank = [0] * (self.limit + 1)
         self.intervals: list[tuple[int, int, int, int, int]] = []
         self.sequences = 0
-        self._by_patterns()
+        self._by_patterns(counts)
         self._best_fit()
 
     def _put(self, length: int, n: int, sequence: int, offset: int) -> None:
@@ -132,11 +138,8 @@ class Plan:
             self.rank[length] += n
             self.left[length] -= n
 
-    def _by_patterns(self) -> None:
-        there = [p for p in patterns_of(self.limit) if all(self.left[n] for n in p)]
-        if not there:
-            return
-        for pattern, x in zip(there, fitted(np.array(self.left, float), there), strict=True):
+    def _by_patterns(self, counts: list[tuple[tuple[int, ...], float]]) -> None:
+        for pattern, x in counts:
             n = min([int(x), *(self.left[m] // pattern.count(m) for m in pattern)])
             if n < 1:
                 continue
@@ -182,6 +185,17 @@ class Plan:
                         fill(length, best, first, n)
 
 
+def plan_for(histogram: np.ndarray) -> Plan:
+    """The fitted patterns, of TRIED those that leave the fewest sequences (the first of them, if equal)."""
+    there = [p for p in patterns_of(len(histogram) - 1) if all(histogram[n] for n in p)]
+    counts: dict[int, list] = {}
+    for most in {m for m, _ in TRIED}:
+        few = [p for p in there if len(p) <= most]
+        counts[most] = list(zip(few, fitted(np.array(histogram, float), few) if few else [], strict=True))
+    plans = (Plan(histogram, [(p, share * n) for p, n in counts[most]]) for most, share in TRIED)
+    return min(plans, key=lambda plan: plan.sequences)
+
+
 def pack(docs: DataFrame, path: str | None = None, limit: int = LIMIT, with_ids: bool = False) -> DataFrame:
     """A row for each piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids)."""
     spark = docs.sparkSession
@@ -193,7 +207,7 @@ def pack(docs: DataFrame, path: str | None = None, limit: int = LIMIT, with_ids:
     histogram = np.zeros(limit + 1, np.int64)
     for r in counted.groupBy("length").agg(F.sum("n").alias("n")).collect():  # limit rows
         histogram[r.length] = r.n
-    plan = Plan(histogram)
+    plan = plan_for(histogram)
     # Bounded by the numbers of patterns and lengths, whatever the input.
     intervals = spark.createDataFrame(plan.intervals or [(0, 0, 0, 0, 0)], "length long, low long, high long, first long, offset long")
     ranked = rows.join(shifts, ["part", "length"]).withColumn("rank", F.col("local") + F.col("shift"))
