@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from folio.llm import byte_bpe, chat_format, exact_dedup, language_id, packing, quality_cnn, secret_scan, topk_search, url_filter
+from folio.llm import byte_bpe, chat_format, exact_dedup, jaccard_join, language_id, packing, quality_cnn, secret_scan, topk_search, url_filter
 
 QUERIES = {
+    "op5_jaccard_join": jaccard_join.op5_jaccard_join,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op7_topk_search": topk_search.op7_topk_search,
     "op9_quality_classifier": quality_cnn.op9_quality_classifier,
