@@ -3,8 +3,9 @@
 Candidates lie in blocks of about BLOCK vectors; each block has its lists, sorted once. Every query meets
 every block: it reads its lists from the end that its component favours, deeper in each round, scores
 what it has not seen, and stops in that block when no unseen vector can reach its k-th score: the sum
-over dimensions of its component times the value at the depth reached is below it. The best k of the
-blocks are merged.
+over dimensions of its component times the value at the depth reached is below it. It also ends where
+the next round would read more entries than there are unseen vectors: these are all scored then. The
+best k of the blocks are merged.
 
 Components are floor(scale * x), x as double; scores are exact integers; ties go to the smaller vec_id.
 Defined cases: vectors that are null or hold null or non-finite components, and rows with a null vec_id,
@@ -44,7 +45,10 @@ class SortedLists:
 
     def scores(self, rows: np.ndarray, q: np.ndarray) -> np.ndarray:
         if self.top * float(np.abs(q).max(initial=0)) < 2**52:
-            return np.rint(self.exact[rows] @ q.astype(np.float64)).astype(np.int64)
+            q = q.astype(np.float64)
+            # Of many rows all are multiplied, which spares their copy.
+            own = (self.exact @ q)[rows] if 4 * len(rows) > len(self.ids) else self.exact[rows] @ q
+            return np.rint(own).astype(np.int64)
         return self.vectors[rows] @ q
 
     def best(self, query_id: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -53,27 +57,32 @@ class SortedLists:
         up, down = np.flatnonzero(q > 0), np.flatnonzero(q < 0)
         seen = np.zeros(n, bool)
         ids, scores = np.empty(0, np.int64), np.empty(0, np.int64)
-        depth = min(DEPTH, n)
+        before, depth = 0, min(DEPTH, n)
         while True:
-            fresh = np.zeros(n, bool)
-            if len(up) + len(down):
-                fresh[self.order[n - depth :, up]] = True
-                fresh[self.order[:depth, down]] = True
-            else:
-                fresh[:] = True  # every score is 0
-            fresh &= ~seen
+            entries = (depth - before) * (len(up) + len(down))
+            if 0 < entries < n - np.count_nonzero(seen):
+                fresh = np.zeros(n, bool)
+                fresh[self.order[n - depth : n - before, up]] = True
+                fresh[self.order[before:depth, down]] = True
+                fresh &= ~seen
+            else:  # the lists would cost more than all that is unseen, which is scored instead
+                fresh = ~seen
             seen |= fresh
             rows = np.flatnonzero(fresh)
             rows = rows[self.ids[rows] != query_id]
-            ids, scores = np.concatenate([ids, self.ids[rows]]), np.concatenate([scores, self.scores(rows, q)])
+            own = self.scores(rows, q)
+            if len(own) > 4 * k:  # what is below the k-th of these cannot stay, so only the rest is sorted
+                high = np.flatnonzero(own >= np.partition(own, -k)[-k])
+                rows, own = rows[high], own[high]
+            ids, scores = np.concatenate([ids, self.ids[rows]]), np.concatenate([scores, own])
             best = np.lexsort((ids, -scores))[:k]
             ids, scores = ids[best], scores[best]
-            if depth >= n or not len(up) + len(down):
+            if depth >= n or seen.all():
                 return ids, scores
             bound = int(self.values[n - depth, up] @ q[up]) + int(self.values[depth - 1, down] @ q[down])
             if len(ids) == k and bound < scores[-1]:
                 return ids, scores
-            depth = min(n, depth * DEEPER)
+            before, depth = depth, min(n, depth * DEEPER)
 
 
 def _packed(width: int):
@@ -112,10 +121,11 @@ def _search(k: int):
                 if r["ids"] != last:  # rows of a block follow each other, so its lists are sorted once
                     last, lists = r["ids"], SortedLists(np.frombuffer(r["ids"], np.int64), as_rows(r["vectors"]))
                 query_ids, queries = np.frombuffer(r["query_ids"], np.int64), as_rows(r["query_vectors"])
-                for i, q in zip(query_ids, queries, strict=True):
-                    ids, scores = lists.best(i, q, k)
-                    key = xxhash.xxh64_intdigest(q.tobytes()) >> 1  # tells rows of one vec_id apart
-                    yield make(np.full(len(ids), i), np.full(len(ids), key), ids, scores)
+                found = [lists.best(i, q, k) for i, q in zip(query_ids, queries, strict=True)]
+                sizes = [len(ids) for ids, _ in found]
+                keys = [xxhash.xxh64_intdigest(q.tobytes()) >> 1 for q in queries]  # tells rows of one vec_id apart
+                ids, scores = (np.concatenate(x) for x in zip(*found, strict=True))
+                yield make(np.repeat(query_ids, sizes), np.repeat(np.array(keys, np.int64), sizes), ids, scores)
 
     return run
 
