@@ -165,28 +165,34 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield make(gids, roots)
 
 
-def judged(docs: DataFrame) -> DataFrame:
-    """docs with keep_id, group_size, kept and text_sha256 (of the normalised text)."""
-    spark = docs.sparkSession
-    small_batches(spark)
+#: Columns that fates() adds, and the names they have in a result.
+ADDED = {"__keep_id": "keep_id", "__group_size": "group_size", "__kept": "kept", "__sha256": "text_sha256"}
+
+
+def fates(docs: DataFrame) -> DataFrame:
+    """docs with __keep_id, __group_size, __kept and __sha256 (of the normalised text)."""
+    small_batches(docs.sparkSession)
     own = T.StructType(
-        [T.StructField("__rid", T.LongType()), T.StructField("__gid", T.LongType()), T.StructField("__h", T.LongType()), T.StructField("text_sha256", T.StringType()), T.StructField("__lead", T.BooleanType())]
+        [T.StructField("__rid", T.LongType()), T.StructField("__gid", T.LongType()), T.StructField("__h", T.LongType()), T.StructField("__sha256", T.StringType()), T.StructField("__lead", T.BooleanType())]
     )
-    docs = docs.drop("keep_id", "group_size", "kept", "text_sha256")
     rows = written(docs.mapInArrow(_local(own), T.StructType(docs.schema.fields + own.fields)), "dedup-rows")
     leaders = rows.where("__lead").select("__gid", "__h", "text").repartition("__h")
     roots = written(leaders.mapInArrow(_settle, "__gid long, __root long"), "dedup-roots")
-    last = F.max(F.struct("doc_id", "__rid")).alias("last")
-    local = rows.groupBy("__gid").agg(last, F.count("*").alias("n"))
-    groups = local.join(roots, "__gid").groupBy("__root").agg(F.max("last").alias("last"), F.sum("n").alias("n"))
-    fates = roots.join(groups, "__root").select("__gid", F.col("last.doc_id").alias("keep_id"), F.col("last.__rid").alias("__keep"), F.col("n").alias("group_size"))
-    out = rows.join(fates, "__gid")
-    return out.withColumn("kept", F.col("__rid") == F.col("__keep")).select(*docs.columns, "keep_id", "group_size", "kept", "text_sha256")
+    local = rows.groupBy("__gid").agg(F.max(F.struct("doc_id", "__rid")).alias("__last"), F.count("*").alias("__n"))
+    groups = local.join(roots, "__gid").groupBy("__root").agg(F.max("__last").alias("__last"), F.sum("__n").alias("__group_size"))
+    each = roots.join(groups, "__root").select("__gid", F.col("__last.doc_id").alias("__keep_id"), F.col("__last.__rid").alias("__keep"), "__group_size")
+    out = rows.join(each, "__gid")
+    return out.withColumn("__kept", F.col("__rid") == F.col("__keep")).select(*docs.columns, *ADDED)
+
+
+def judged(docs: DataFrame) -> DataFrame:
+    """docs with keep_id, group_size, kept and text_sha256; these replace columns that have their names."""
+    return fates(docs.drop(*ADDED.values())).withColumnsRenamed(ADDED)
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The rows that stay, with the columns of docs."""
-    return judged(docs).where("kept").select(*docs.columns)
+    return fates(docs).where("__kept").select(*docs.columns)
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

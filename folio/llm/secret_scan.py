@@ -164,18 +164,18 @@ def spans_of(text: Column, rule: Rule, order: int) -> Column:
 
 
 def with_spans(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
-    """Adds _spans (array of start, order, end, kind; by start, then the order of rules) to rows with doc_id and text."""
+    """Adds __scan_spans (array of start, order, end, kind; by start, then the order of rules) to rows with doc_id and text."""
     clean = docs.withColumn("text", F.coalesce("text", F.lit("")))
-    keyed = clean.withColumn("_key", F.xxhash64("doc_id", "text"))
-    found = candidates(keyed.select(F.col("_key").alias("key"), "text"), rules).withColumnRenamed("key", "_key").withColumnRenamed("kinds", "_kinds")
-    joined = keyed.join(found, "_key", "left")
+    keyed = clean.withColumn("__scan_key", F.xxhash64("doc_id", "text"))
+    found = candidates(keyed.select(F.col("__scan_key").alias("key"), "text"), rules).withColumnRenamed("key", "__scan_key").withColumnRenamed("kinds", "__scan_kinds")
+    joined = keyed.join(found, "__scan_key", "left")
     empty = F.array().cast("array<struct<start:int,order:int,end:int,kind:string>>")
     each = []
     for order, rule in enumerate(rules):
         indexed = trigram_query(rule.pattern) is not True
-        go = F.coalesce(F.array_contains("_kinds", rule.kind), F.lit(False)) if indexed else F.col("text").rlike(rule.pattern)
+        go = F.coalesce(F.array_contains("__scan_kinds", rule.kind), F.lit(False)) if indexed else F.col("text").rlike(rule.pattern)
         each.append(F.when(go, spans_of(F.col("text"), rule, order)).otherwise(empty))
-    return joined.withColumn("_spans", F.array_sort(F.concat(*each))).drop("_key", "_kinds")
+    return joined.withColumn("__scan_spans", F.array_sort(F.concat(*each))).drop("__scan_key", "__scan_kinds")
 
 
 def listed(spans: Column) -> Column:
@@ -185,7 +185,7 @@ def listed(spans: Column) -> Column:
 
 def scan(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     """doc_id and spans, one row for each row of docs."""
-    return with_spans(docs.select("doc_id", "text"), rules).select("doc_id", F.col("_spans").alias("spans"))
+    return with_spans(docs.select("doc_id", "text"), rules).select("doc_id", F.col("__scan_spans").alias("spans"))
 
 
 def redact(docs: DataFrame, rules: list[Rule] = RULES, mark: str = "[secret]") -> DataFrame:
@@ -197,8 +197,8 @@ def redact(docs: DataFrame, rules: list[Rule] = RULES, mark: str = "[secret]") -
         piece = F.when(s["start"] + 1 >= a["at"], F.concat(F.substring(F.col("text"), a["at"], s["start"] + 1 - a["at"]), F.lit(mark))).otherwise("")
         return F.struct(F.greatest(a["at"], s["end"] + 1).alias("at"), F.concat(a["out"], F.array(piece)).alias("out"))
 
-    done = F.aggregate("_spans", start, step, lambda a: F.concat(F.array_join(a["out"], ""), F.substring(F.col("text"), a["at"], F.length("text"))))
-    out = with_spans(docs, rules).withColumn("text", F.when(F.size("_spans") > 0, done).otherwise(F.col("text"))).drop("_spans")
+    done = F.aggregate("__scan_spans", start, step, lambda a: F.concat(F.array_join(a["out"], ""), F.substring(F.col("text"), a["at"], F.length("text"))))
+    out = with_spans(docs, rules).withColumn("text", F.when(F.size("__scan_spans") > 0, done).otherwise(F.col("text"))).drop("__scan_spans")
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
