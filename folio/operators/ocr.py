@@ -23,15 +23,12 @@ def filtered(values: Column, mask: Column) -> Column:
 
 def clean_arrays(pages: DataFrame) -> DataFrame:
     """Filters each family of parallel arrays by its texts; a family without texts stays as it is."""
-    out = {}
-    for texts, others in FAMILIES.items():
-        if texts not in pages.columns:
-            continue
-        mask = kept(F.col(texts))
-        for name in (texts, *others):
-            if name in pages.columns:
-                out[name] = F.when(F.col(texts).isNull(), F.col(name)).otherwise(filtered(F.col(name), mask))
-    return pages.withColumns(out)
+    found = [(t, o) for t, o in FAMILIES.items() if t in pages.columns]
+    # The masks are columns of their own, so that no array is filtered by an array that is already filtered.
+    masked = pages.withColumns({f"_keep_{t}": kept(F.col(t)) for t, _ in found})
+    mask_of = {name: t for t, others in found for name in (t, *others)}
+    own = lambda c: F.when(F.col(f"_keep_{mask_of[c]}").isNull(), F.col(c)).otherwise(filtered(F.col(c), F.col(f"_keep_{mask_of[c]}")))
+    return masked.select(*[own(c).alias(c) if c in mask_of else F.col(c) for c in pages.columns])
 
 
 def parsed(pages: DataFrame) -> DataFrame:
