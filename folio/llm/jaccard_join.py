@@ -3,13 +3,16 @@
 1. Each text becomes its set of word shingles (64-bit hashes). Equal sets are one class from here on.
 2. Classes that can be similar share one of the rarest shingles of both sets (the first
    n - ceil(t n) + 1 of each set, rarest first: a lossless prefix filter). Rarity comes from counters of
-   all shingles in BUCKETS buckets. Classes that share such shingles, directly or over others, are a
-   cluster; no link crosses clusters.
-3. In a cluster, shingles are hashed into GROUPS groups. The group counts of a class are a point of an
-   R-tree; the overlap of two sets is at most the sum of the coordinate minima, so a node is passed over
-   if the minima with its upper corner add up to too little. Surviving pairs are verified with the whole
-   sets, unless they are already known to be connected.
-4. A cluster of more than PAGE classes is dealt to pages. Connected parts of each page are merged over
+   all shingles in BUCKETS buckets. The classes that have such a shingle are a block; of blocks with the
+   same classes one is kept.
+3. Shingles are hashed into GROUPS groups. The group counts of a class are a point of an R-tree; the
+   overlap of two sets is at most the sum of the coordinate minima, so a node is passed over if the minima
+   with its upper corner add up to too little. In each block the classes that surviving pairs connect
+   belong together (blocks of more than PAGE classes as a whole), and what belongs together in any block,
+   directly or over others, is a cluster; no link crosses clusters.
+4. In a cluster the tree is searched again, and surviving pairs are verified with the whole sets, unless
+   they are already known to be connected.
+5. A cluster of more than PAGE classes is dealt to pages. Connected parts of each page are merged over
    their representatives, page by page, and then every class outside its cluster's largest part searches
    the trees of all pages, so that no link is lost.
 
@@ -35,9 +38,12 @@ from pyspark.sql import functions as F
 from folio.llm.common import batches_of, small_batches, table, texts, written
 
 BUCKETS = 1 << 17
-GROUPS = 32
-PAGE = 2000
+GROUPS = 128
+#: Classes of a page; one of more than HEAVY shingles counts for its share of HEAVY.
+PAGE, HEAVY = 2000, 1000
 LEAF = 32
+#: Groups of the finer counts, a power of two with 12 bits.
+FINE = 1 << 12
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _K = np.uint64(0x9E3779B97F4A7C15)
 
@@ -101,14 +107,26 @@ class Similarity:
 
 def point(h: np.ndarray) -> np.ndarray:
     """Counts of the groups."""
-    return np.bincount((h >> np.uint64(59)).astype(np.int64), minlength=GROUPS)
+    return np.bincount((h >> np.uint64(57)).astype(np.int64), minlength=GROUPS)
+
+
+def small_point(h: np.ndarray) -> bytes:
+    """The size and the counts of the groups, rounded up to multiples of a power of two so that each fits a byte."""
+    p = point(h)
+    shift = max(0, int(p.max(initial=0) - 1).bit_length() - 8)
+    return np.array([len(h), shift], np.int32).tobytes() + (-(-p >> shift)).astype(np.uint8).tobytes()
+
+
+def from_small(data: bytes) -> tuple[int, np.ndarray]:
+    size, shift = np.frombuffer(data, np.int32, 2)
+    return int(size), np.frombuffer(data, np.uint8, GROUPS, 8).astype(np.int64) << int(shift)
 
 
 class CountTree:
     """An R-tree over count vectors, packed bottom-up: by size, then by groups in turn."""
 
-    def __init__(self, points: np.ndarray):
-        self.points, self.sizes = points, points.sum(axis=1)
+    def __init__(self, points: np.ndarray, sizes: np.ndarray):
+        self.points, self.sizes = points, sizes
         order = np.lexsort((points[:, 1], points[:, 0], self.sizes))
         self.leaves = [order[at : at + LEAF] for at in range(0, len(order), LEAF)]
         # levels[0] covers the leaves: upper corners, least and largest sizes; each level covers LEAF nodes of the one below.
@@ -121,9 +139,8 @@ class CountTree:
                 break
             level = [(corners[at : at + LEAF].max(axis=0), low[at : at + LEAF].min(), high[at : at + LEAF].max()) for at in range(0, len(level), LEAF)]
 
-    def search(self, q: np.ndarray, least: Similarity) -> np.ndarray:
-        """The points that the bound does not rule out."""
-        n = int(q.sum())
+    def search(self, q: np.ndarray, n: int, least: Similarity) -> np.ndarray:
+        """The points that the bound does not rule out for a set of size n and counts q."""
         nodes = np.zeros(1, np.int64) if self.levels else np.empty(0, np.int64)
         for depth in range(len(self.levels) - 1, -1, -1):
             corners, low, high = self.levels[depth]
@@ -137,17 +154,28 @@ class CountTree:
         if not len(nodes):
             return np.empty(0, np.int64)
         at = np.concatenate([self.leaves[i] for i in nodes])
+        at = at[(self.sizes[at] >= least.smallest(n)) & (least.smallest(self.sizes[at]) <= n)]
         return at[np.minimum(self.points[at], q).sum(axis=1) >= least.overlap(n, self.sizes[at])]
 
 
 def connected(sets: list[np.ndarray], labels: np.ndarray, queries: np.ndarray, least: Similarity) -> np.ndarray:
     """Labels after joining what is linked: each query against all sets, pairs of one label are not verified again."""
     labels = labels.copy()
-    points = np.stack([point(h) for h in sets])
-    tree = CountTree(points)
+    points, sizes = np.stack([point(h) for h in sets]), np.array([len(h) for h in sets])
+    tree = CountTree(points, sizes)
+    # Long sets fill all groups alike; finer counts give them a bound that tells.
+    long = np.flatnonzero(sizes > FINE // 8)
+    row, fine = np.full(len(sets), -1), np.zeros((len(long), FINE), np.uint16)
+    row[long] = np.arange(len(long))
+    for k, i in enumerate(long):
+        fine[k] = np.minimum(np.bincount((sets[i] >> np.uint64(64 - 12)).astype(np.int64), minlength=FINE), 65535)
     for q in queries:
-        found = tree.search(points[q], least)
+        found = tree.search(points[q], sizes[q], least)
         found = found[labels[found] != labels[q]]
+        if row[q] >= 0 and sizes[q] < 65535 and len(found):
+            near = row[found]
+            near = np.where(near >= 0, np.minimum(fine[near], fine[row[q]]).sum(axis=1, dtype=np.int64), sizes[found])
+            found = found[near >= least.overlap(sizes[q], sizes[found])]
         while len(found):
             other = found[0]
             if least.linked(sets[q], sets[other]):
@@ -159,6 +187,52 @@ def connected(sets: list[np.ndarray], labels: np.ndarray, queries: np.ndarray, l
     return labels
 
 
+def together(points: np.ndarray, sizes: np.ndarray, least: Similarity) -> np.ndarray:
+    """For each point the least index that surviving pairs connect it with."""
+    labels, tree = np.arange(len(points)), CountTree(points, sizes)
+    for q in range(len(points)):
+        found = np.unique(labels[tree.search(points[q], sizes[q], least)])
+        if len(found) > 1:
+            labels[np.isin(labels, found)] = found[0]
+    return labels
+
+
+def _blocks(num: int, den: int):
+    """Rows of one token follow each other: token, n, sid, small; out: edges (a, b) between classes that may be linked."""
+    least = Similarity(num, den)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make = batches_of({"a": pa.int64(), "b": pa.int64()})
+        rows = (r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("token", "n", "sid", "small")), strict=True))
+        done: tuple[list, list] = ([], [])
+        for _, block in groupby(rows, key=lambda r: r[0]):
+            head = next(block)
+            if head[1] > PAGE:  # one row at a time, all to the first
+                for a in (r[2] for r in block):
+                    done[0].append(a)
+                    done[1].append(head[2])
+                    if len(done[0]) >= 10_000:
+                        yield make(*done)
+                        done = ([], [])
+                continue
+            block = [head, *block]
+            sizes, points = zip(*(from_small(r[3]) for r in block), strict=True)
+            if len(block) == 2:
+                labels = [0, int(np.minimum(*points).sum() < least.overlap(*sizes) or min(sizes) < least.smallest(max(sizes)))]
+            else:
+                labels = together(np.stack(points), np.array(sizes), least)
+            for k, label in enumerate(labels):
+                if k != label:
+                    done[0].append(block[k][2])
+                    done[1].append(block[label][2])
+            if len(done[0]) >= 10_000:
+                yield make(*done)
+                done = ([], [])
+        yield make(*done)
+
+    return run
+
+
 def _pages(n: int, num: int, den: int):
     """Rows of one (cluster, page) follow each other: sid, label, asks, own (whether it lies on this page), text; out: label -> label."""
     least = Similarity(num, den)
@@ -192,35 +266,43 @@ def joined_pages(rows: DataFrame, n: int, num: int, den: int) -> DataFrame:
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """v and component (the least v it is connected with) for all ends of edges (a, b); labels pass along edges and are then followed."""
-    both = written(edges.select("a", "b").where("a <> b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")).where("a <> b")).distinct(), "edges")
-    labels = written(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("v"), F.least("a", "m").alias("c")), "labels")
+    """v and component (the least v it is connected with) for all ends of edges (a, b).
+
+    In each round a vertex points to its least neighbour or itself, pointers are followed, and edges are
+    drawn between what they lead to; the graph shrinks until no edge is left.
+    """
+    edges = written(edges.select("a", "b").where("a <> b").distinct(), "edges")
+    known = None
     while True:
-        near = both.join(labels, both.b == labels.v).groupBy("a").agg(F.min("c").alias("m"))
-        moved = labels.join(near, labels.v == near.a).select("v", "c", F.least("c", "m").alias("d"))
-        jump = moved.select(F.col("v").alias("at"), F.col("d").alias("e"))
-        moved = written(moved.join(jump, moved.d == jump["at"]).select("v", F.least("d", "e").alias("c"), (F.least("d", "e") < F.col("c")).alias("moved")), "labels")
-        labels = moved.select("v", "c")
-        if not moved.where("moved").limit(1).count():
-            return labels.select("v", F.col("c").alias("component"))
+        both = edges.union(edges.select("b", "a"))
+        step = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("v"), F.least("a", "m").alias("c"))
+        for _ in range(2):
+            step = step.join(step.select(F.col("v").alias("at"), F.col("c").alias("to")), F.col("c") == F.col("at")).select("v", F.col("to").alias("c"))
+        step = written(step, "labels")
+        known = step if known is None else written(known.join(step.select(F.col("v").alias("at"), F.col("c").alias("to")), F.col("c") == F.col("at"), "left").select("v", F.coalesce("to", "c").alias("c")), "labels")
+        a, b = (step.select(F.col("v").alias(x), F.col("c").alias(f"c{x}")) for x in ("a", "b"))
+        edges = written(edges.join(a, "a").join(b, "b").where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "edges")
+        if not edges.limit(1).count():
+            return known.select("v", F.col("c").alias("component"))
 
 
 def _classes(n: int):
-    """Rows of both kinds: (0, doc_id, size, sid) for a text, (1, bucket, count, null) for the shingles of the task."""
+    """Rows of both kinds: (0, doc_id, size, sid, small) for a text, (1, bucket, count, null, null) for the shingles of the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make = batches_of({"kind": pa.int8(), "a": pa.int64(), "b": pa.int64(), "sid": pa.int64()})
+        make = batches_of({"kind": pa.int8(), "a": pa.int64(), "b": pa.int64(), "sid": pa.int64(), "small": pa.binary()})
         total = np.zeros(BUCKETS, np.int64)
         for batch, all_ in texts(batches, "text"):
-            sizes, sids = [], []
+            sizes, sids, small = [], [], []
             for text in all_:
                 h = shingles(text, n)
+                small.append(small_point(h) if len(h) else None)
                 np.add.at(total, (h & np.uint64(BUCKETS - 1)).astype(np.int64), 1)
                 sizes.append(len(h))
                 sids.append(set_id(h) if len(h) else None)
-            yield make(np.zeros(len(sizes), np.int8), batch.column("doc_id"), sizes, sids)
+            yield make(np.zeros(len(sizes), np.int8), batch.column("doc_id"), sizes, sids, small)
         there = np.flatnonzero(total)
-        yield make(np.ones(len(there), np.int8), there, total[there], pa.nulls(len(there), pa.int64()))
+        yield make(np.ones(len(there), np.int8), there, total[there], pa.nulls(len(there), pa.int64()), pa.nulls(len(there), pa.binary()))
 
     return run
 
@@ -249,8 +331,8 @@ def _prefixes(n: int, num: int, den: int, counters):
 
 
 def _paged(rows: DataFrame) -> DataFrame:
-    """rows (cluster, sid, ...) with page and pages: a cluster's classes dealt to pages of about PAGE."""
-    sizes = rows.groupBy("cluster").agg(F.count("*").alias("_n"))
+    """rows (cluster, sid, weight, ...) with page and pages: a cluster's classes dealt to pages of a weight of about PAGE."""
+    sizes = rows.groupBy("cluster").agg(F.sum("weight").alias("_n"))
     pages = F.ceil(F.col("_n") / PAGE).cast("int")
     return rows.join(sizes, "cluster").withColumn("pages", pages).withColumn("page", F.pmod(F.xxhash64("sid"), F.col("pages")).cast("int")).drop("_n")
 
@@ -269,30 +351,28 @@ def components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> Da
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.selectExpr("CAST(doc_id AS long) doc_id", "text")
-    both = written(docs.mapInArrow(_classes(n), "kind byte, a long, b long, sid long"), "jaccard-classes")
+    both = written(docs.mapInArrow(_classes(n), "kind byte, a long, b long, sid long, small binary"), "jaccard-classes")
     rows = both.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"), "sid")
     counters = np.zeros(BUCKETS, np.int64)
     for r in both.where("kind = 1").groupBy("a").agg(F.sum("b").alias("n")).collect():  # BUCKETS rows at most
         counters[r.a] = r.n
-    classes = rows.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("first_id"))
+    classes = rows.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("first_id"), F.greatest(F.lit(1.0), F.max("n_shingles") / HEAVY).alias("weight"))
 
     shared = spark.sparkContext.broadcast(counters)  # BUCKETS numbers
     prefixes = written(docs.mapInArrow(_prefixes(n, num, den, shared), "token long, sid long"), "jaccard-prefixes")
-    pivots = prefixes.groupBy("token").agg(F.min("sid").alias("b"), F.max("sid").alias("most")).where("b < most").select("token", "b")
-    edges = prefixes.join(pivots, "token").where("sid <> b").select(F.col("sid").alias("a"), "b").distinct()
-    clusters = connected_components(edges).select(F.col("v").alias("sid"), F.col("component").alias("cluster"))
+    clusters = connected_components(candidate_edges(prefixes, both, num, den)).select(F.col("v").alias("sid"), F.col("component").alias("cluster"))
 
-    members = _paged(clusters).join(classes, "sid")
+    members = _paged(clusters.join(classes, "sid"))
     found = docs.join(members, docs.doc_id.eqNullSafe(members.first_id))
     asked = F.lit(True).alias("asks")
     # The texts of clustered classes, once; later steps read them here.
-    members = written(found.select("cluster", "page", "pages", "sid", "text"), "jaccard-members")
+    members = written(found.select("cluster", "page", "pages", "weight", "sid", "text"), "jaccard-members")
     links = written(joined_pages(members.select("*", F.col("sid").alias("label"), asked), n, num, den), "jaccard-links")
     label = _as_links(links)
     paged = members.where("pages > 1")
     if paged.limit(1).count():
         label = _across_pages(paged, label, n, num, den)
-    named = classes.join(label.withColumnRenamed("v", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+    named = classes.drop("weight").join(label.withColumnRenamed("v", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     named = written(named, "jaccard-named")
     least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
     names = named.join(least, "component").select("sid", "component_id")
@@ -300,18 +380,31 @@ def components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> Da
     return out.select("doc_id", "n_shingles", F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
+def candidate_edges(prefixes: DataFrame, both: DataFrame, num: int, den: int) -> DataFrame:
+    """a, b: classes that a block's surviving pairs connect. A class may be in the prefixes more than once."""
+    # Sums of hashes tell blocks with the same classes; a class that a block has twice only hides this.
+    key = F.pmod(F.xxhash64("sid"), F.lit(1 << 31))
+    blocks = prefixes.groupBy("token").agg(F.count("*").alias("n"), F.min("sid").alias("low"), F.max("sid").alias("high"), F.sum(key).alias("sum")).where("low < high")
+    blocks = blocks.groupBy("n", "low", "high", "sum").agg(F.min("token").alias("token")).select("token", "n")
+    rows = prefixes.join(blocks, "token").distinct()
+    points = both.where("sid IS NOT NULL").groupBy("sid").agg(F.min("small").alias("small"))
+    rows = rows.join(points, "sid").select("token", "n", "sid", "small")
+    dealt = rows.repartition("token").sortWithinPartitions("token", "sid")
+    return written(dealt.mapInArrow(_blocks(num, den), "a long, b long"), "jaccard-edges").distinct()
+
+
 def _across_pages(paged: DataFrame, label: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """label (v, component) with the links between the pages of large clusters."""
-    start = written(_relabelled(paged.select("cluster", "page", "pages", "sid", F.col("sid").alias("label")), label), "jaccard-paged")
+    start = written(_relabelled(paged.select("cluster", "page", "pages", "weight", "sid", F.col("sid").alias("label")), label), "jaccard-paged")
     known, asked = label, F.lit(True).alias("asks")
     current = start
     while True:
         # One representative of each connected part, on pages again; parts that meet are one.
-        parts = _paged(current.groupBy("cluster", "label").agg(F.min("sid").alias("sid")))
+        parts = _paged(current.groupBy("cluster", "label").agg(F.min("sid").alias("sid"), F.max("weight").alias("weight")))
         parts = written(parts.join(parts.groupBy("cluster").agg(F.count("*").alias("_k")).where("_k > 1").drop("_k"), "cluster"), "jaccard-parts")
         if not parts.limit(1).count():
             return known
-        reps = parts.join(paged.select("sid", "text").dropDuplicates(["sid"]), "sid")
+        reps = parts.join(paged.select("sid", "text"), "sid")
         more = written(joined_pages(reps.select("*", asked), n, num, den), "jaccard-links")
         met = more.limit(1).count() > 0
         if met:
@@ -328,7 +421,7 @@ def _across_pages(paged: DataFrame, label: DataFrame, n: int, num: int, den: int
     open_ = asking.select("cluster").distinct()
     base = current.join(open_, "cluster").join(asking.select("cluster", "page", "sid").withColumn("_asks", F.lit(True)), ["cluster", "page", "sid"], "left").where("_asks IS NULL")
     both = base.select("cluster", "page", "sid", "label", F.lit(False).alias("asks")).unionByName(asking)
-    rest = written(joined_pages(both.join(paged.select("sid", "text").dropDuplicates(["sid"]), "sid"), n, num, den), "jaccard-links")
+    rest = written(joined_pages(both.join(paged.select("sid", "text"), "sid"), n, num, den), "jaccard-links")
     if not rest.limit(1).count():
         return known
     current = written(_relabelled(current, _as_links(rest)), "jaccard-paged")
