@@ -134,6 +134,8 @@ def candidates(docs: DataFrame, rules: list[Rule]) -> DataFrame:
     """key and the kinds of indexed rules whose query the document satisfies; documents without any are left out."""
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     queries = {k: q for k, q in queries.items() if q is not True}
+    if not queries:
+        return docs.select("key", F.array().cast("array<string>").alias("kinds")).where("false")
     grams = sorted(set().union(*map(trigrams_of, queries.values())))
     # As many distinct trigrams for a key as the queries have, at most.
     present = postings(docs, grams).groupBy("key").agg(F.collect_set("gram").alias("present"))
