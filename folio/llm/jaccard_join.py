@@ -198,33 +198,26 @@ def together(points: np.ndarray, sizes: np.ndarray, least: Similarity) -> np.nda
 
 
 def _blocks(num: int, den: int):
-    """Rows of one token follow each other: token, n, sid, small; out: edges (a, b) between classes that may be linked."""
+    """Rows of one token follow each other: token, sid, small; out: edges (a, b) between classes that may be linked."""
     least = Similarity(num, den)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = batches_of({"a": pa.int64(), "b": pa.int64()})
-        rows = (r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("token", "n", "sid", "small")), strict=True))
+        rows = (r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("token", "sid", "small")), strict=True))
         done: tuple[list, list] = ([], [])
         for _, block in groupby(rows, key=lambda r: r[0]):
-            head = next(block)
-            if head[1] > PAGE:  # one row at a time, all to the first
-                for a in (r[2] for r in block):
-                    done[0].append(a)
-                    done[1].append(head[2])
-                    if len(done[0]) >= 10_000:
-                        yield make(*done)
-                        done = ([], [])
+            block = list(block)  # PAGE rows at most
+            sizes, points = zip(*(from_small(r[2]) for r in block), strict=True)
+            if len(block) == 1:
                 continue
-            block = [head, *block]
-            sizes, points = zip(*(from_small(r[3]) for r in block), strict=True)
             if len(block) == 2:
                 labels = [0, int(np.minimum(*points).sum() < least.overlap(*sizes) or min(sizes) < least.smallest(max(sizes)))]
             else:
                 labels = together(np.stack(points), np.array(sizes), least)
             for k, label in enumerate(labels):
                 if k != label:
-                    done[0].append(block[k][2])
-                    done[1].append(block[label][2])
+                    done[0].append(block[k][1])
+                    done[1].append(block[label][1])
             if len(done[0]) >= 10_000:
                 yield make(*done)
                 done = ([], [])
@@ -385,12 +378,15 @@ def candidate_edges(prefixes: DataFrame, both: DataFrame, num: int, den: int) ->
     # Sums of hashes tell blocks with the same classes; a class that a block has twice only hides this.
     key = F.pmod(F.xxhash64("sid"), F.lit(1 << 31))
     blocks = prefixes.groupBy("token").agg(F.count("*").alias("n"), F.min("sid").alias("low"), F.max("sid").alias("high"), F.sum(key).alias("sum")).where("low < high")
-    blocks = blocks.groupBy("n", "low", "high", "sum").agg(F.min("token").alias("token")).select("token", "n")
-    rows = prefixes.join(blocks, "token").distinct()
+    blocks = written(blocks.groupBy("n", "low", "high", "sum").agg(F.min("token").alias("token")).select("token", "n", "low"), "jaccard-blocks")
+    rows = prefixes.join(blocks.where(F.col("n") <= PAGE).select("token"), "token").distinct()
     points = both.where("sid IS NOT NULL").groupBy("sid").agg(F.min("small").alias("small"))
-    rows = rows.join(points, "sid").select("token", "n", "sid", "small")
+    rows = rows.join(points, "sid").select("token", "sid", "small")
     dealt = rows.repartition("token").sortWithinPartitions("token", "sid")
-    return written(dealt.mapInArrow(_blocks(num, den), "a long, b long"), "jaccard-edges").distinct()
+    edges = dealt.mapInArrow(_blocks(num, den), "a long, b long")
+    # A large block belongs together as a whole: an edge from each class to its least, without gathering it.
+    large = prefixes.join(blocks.where(F.col("n") > PAGE), "token").where("sid <> low").select(F.col("sid").alias("a"), F.col("low").alias("b"))
+    return written(edges.unionByName(large), "jaccard-edges").distinct()
 
 
 def _across_pages(paged: DataFrame, label: DataFrame, n: int, num: int, den: int) -> DataFrame:
