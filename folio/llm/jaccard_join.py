@@ -252,6 +252,83 @@ def _pages(n: int, num: int, den: int):
     return run
 
 
+def fine_point(h: np.ndarray) -> bytes:
+    """As small_point(), with FINE groups for sets of more than 512 shingles."""
+    if len(h) <= 512:
+        return small_point(h)
+    p = np.bincount((h >> np.uint64(64 - 12)).astype(np.int64), minlength=FINE)
+    shift = max(0, int(p.max() - 1).bit_length() - 8)
+    return np.array([len(h), shift], np.int32).tobytes() + (-(-p >> shift)).astype(np.uint8).tobytes()
+
+
+def from_fine(data: bytes) -> tuple[int, np.ndarray]:
+    size, shift = np.frombuffer(data, np.int32, 2)
+    return int(size), np.frombuffer(data, np.uint8, -1, 8).astype(np.int32) << int(shift)
+
+
+def folded(counts: np.ndarray) -> np.ndarray:
+    """FINE groups as GROUPS groups: both take leading bits of a hash."""
+    return counts if counts.shape[-1] == GROUPS else counts.reshape(*counts.shape[:-1], GROUPS, -1).sum(axis=-1)
+
+
+def _fine_points(n: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make = batches_of({"sid": pa.int64(), "data": pa.binary()})
+        for batch, all_ in texts(batches, "text"):
+            sets = [shingles(t, n) for t in all_]
+            right = [(sid, fine_point(h)) for sid, h in zip(batch.column("sid").to_pylist(), sets, strict=True) if len(h) and set_id(h) == sid]
+            if right:
+                yield make(*zip(*right, strict=True))
+
+    return run
+
+
+def _page_pairs(num: int, den: int):
+    """Rows of a page, its own first: cluster, page, sid, label, asks, data; out: surviving pairs of different labels, a < b."""
+    least = Similarity(num, den)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make = batches_of({"a": pa.int64(), "b": pa.int64(), "label": pa.int64(), "to": pa.int64()})
+        rows = (r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("cluster", "page", "sid", "label", "asks", "data")), strict=True))
+        for _, page in groupby(rows, key=lambda r: r[:2]):
+            own, kinds = [], None
+            for _, _, sid, label, asks, data in page:
+                size, counts = from_fine(data)
+                if not asks:
+                    own.append((sid, label, size, counts))
+                    continue
+                if kinds is None:  # own classes of few and of many groups
+                    kinds = [(k, *(np.array([x[i] for x in part]) for i in range(3)), np.stack([x[3] for x in part])) for k in (GROUPS, FINE) if (part := [x for x in own if len(x[3]) == k])]
+                for k, sids, labels, sizes, points in kinds:
+                    near = np.flatnonzero((labels != label) & (sizes >= least.smallest(size)) & (least.smallest(sizes) <= size))
+                    mine, theirs = (counts, points[near]) if len(counts) == k else (folded(counts), folded(points[near]))
+                    near = near[np.minimum(theirs, mine).sum(axis=1) >= least.overlap(size, sizes[near])]
+                    if len(near):
+                        other, to = sids[near], labels[near]
+                        yield make(np.minimum(other, sid), np.maximum(other, sid), np.full(len(near), label), to)
+
+    return run
+
+
+def _verified(n: int, num: int, den: int):
+    """label and to of the pairs of texts that are linked."""
+    least = Similarity(num, den)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make = batches_of({"label": pa.int64(), "to": pa.int64()})
+        for batch in batches:
+            a, b, ta, tb, label, to = (batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b", "label", "to"))
+            found = []
+            for k in range(len(a)):
+                x, y = shingles(ta[k], n), shingles(tb[k], n)
+                if set_id(x) == a[k] and set_id(y) == b[k] and least.linked(x, y):
+                    found.append((label[k], to[k]))
+            if found:
+                yield make(*zip(*found, strict=True))
+
+    return run
+
+
 def joined_pages(rows: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """label and to: labels that a link connects. rows: cluster, page, sid, label, asks, text."""
     dealt = rows.select("cluster", "page", "sid", "label", "asks", "text").repartition("cluster", "page").sortWithinPartitions("cluster", "page", "sid")
@@ -414,10 +491,15 @@ def _across_pages(paged: DataFrame, label: DataFrame, n: int, num: int, den: int
     largest = sizes.groupBy("cluster").agg(F.max_by("label", F.struct("k", "label")).alias("main"))
     asking = current.join(largest, "cluster").where("label <> main").drop("main")
     asking = asking.select("cluster", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)).alias("page"), "sid", "label", asked)
-    open_ = asking.select("cluster").distinct()
-    base = current.join(open_, "cluster").join(asking.select("cluster", "page", "sid").withColumn("_asks", F.lit(True)), ["cluster", "page", "sid"], "left").where("_asks IS NULL")
-    both = base.select("cluster", "page", "sid", "label", F.lit(False).alias("asks")).unionByName(asking)
-    rest = written(joined_pages(both.join(paged.select("sid", "text"), "sid"), n, num, den), "jaccard-links")
+    # Every page has the counts of its own classes and of those that ask; texts move for surviving pairs only.
+    points = written(paged.select("sid", "text").mapInArrow(_fine_points(n), "sid long, data binary"), "jaccard-points").dropDuplicates(["sid"])
+    open_ = current.join(asking.select("cluster").distinct(), "cluster").select("cluster", "page", "sid", "label", F.lit(False).alias("asks"))
+    both = open_.unionByName(asking).join(points, "sid").select("cluster", "page", "sid", "label", "asks", "data")
+    dealt = both.repartition("cluster", "page").sortWithinPartitions("cluster", "page", "asks", "sid")
+    pairs = dealt.mapInArrow(_page_pairs(num, den), "a long, b long, label long, to long").dropDuplicates(["a", "b"])
+    texts_ = paged.select("sid", "text")
+    pairs = pairs.join(texts_.select(F.col("sid").alias("a"), F.col("text").alias("text_a")), "a").join(texts_.select(F.col("sid").alias("b"), F.col("text").alias("text_b")), "b")
+    rest = written(pairs.mapInArrow(_verified(n, num, den), "label long, to long"), "jaccard-links")
     if not rest.limit(1).count():
         return known
     current = written(_relabelled(current, _as_links(rest)), "jaccard-paged")
