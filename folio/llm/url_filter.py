@@ -6,8 +6,9 @@ those that a rule blocks: orders 0 to ORDER, each interpolated with the next sho
 followers)). A URL without a rule is allowed if its log-likelihood difference, divided by its length,
 reaches a threshold that is calibrated on labelled URLs which the counting left out (a quarter).
 
-Contexts are hashed into BUCKETS buckets, so that the models have a fixed size at any input size and
-reach the executors as one scalar value; counting takes every labelled URL.
+The counts are exact: a table of every gram of ORDER + 1 characters, which grows with the labelled URLs and
+holds the shorter grams as their suffixes. Probabilities are computed once for each distinct gram that is to be
+scored, by joins on grams, order by order, and then joined to the places of the URLs.
 
 Defined cases: a null URL or one without '://' has empty host and path, matches no rule and scores 0;
 without labelled URLs of both kinds the threshold is 0; a score equal to the threshold is allowed.
@@ -30,12 +31,14 @@ RULES = [
     ("block", "com/de/"),
 ]
 ORDER = 4
-BUCKETS = 1 << 17
 START, END = "\x01", "\x02"
 #: Calibration: scores from -SPAN to SPAN (nats per character) in BINS bins.
 SPAN, BINS = 8.0, 512
 #: Probability of a character in an empty context that the model never saw.
 UNIFORM = 1.0 / 256
+#: What the models read of a URL, and parts of a nat in which log ratios are added up.
+TEXT = "concat(host, path)"
+UNITS = 1e10
 
 
 def with_host_and_path(pages: DataFrame) -> DataFrame:
@@ -59,62 +62,57 @@ def rule_of(rules: list[tuple[str, str]]) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def _padded() -> Column:
-    return F.concat(F.lit(START * ORDER), F.col("host"), F.col("path"), F.lit(END))
+def _grams(text: str) -> Column:
+    """The grams of ORDER + 1 characters, one for each character and the end: the last character follows the others."""
+    padded = f"concat('{START * ORDER}', {text}, '{END}')"
+    return F.expr(f"transform(sequence(1, length({text}) + 1), i -> substring({padded}, i, {ORDER + 1}))")
 
 
-def _bucket(text: Column) -> Column:
-    return F.pmod(F.xxhash64(text), F.lit(BUCKETS)).cast("int")
+def model(labelled: DataFrame, text: str = TEXT) -> DataFrame:
+    """gram, allow, block: how often each gram of ORDER + 1 characters is in the texts of each label.
 
-
-def model(labelled: DataFrame) -> DataFrame:
-    """One row: arrays by bucket for each label; hit_*: weight of a context and character, low_*: weight of the shorter context.
-
-    labelled has label (allow, block), host and path.
+    labelled has label (allow, block) and the columns of text, the SQL of what the models read.
     """
-    grams = labelled.select("label", F.explode(F.sequence(F.lit(ORDER + 1), F.length(_padded()))).alias("i"), _padded().alias("s"))
-    grams = grams.select("label", "i", "s", F.explode(F.sequence(F.lit(0), F.lit(ORDER))).alias("k"))
-    # A context's bucket is salted, so that a context is not confused with a character in a shorter one.
-    context, gram = F.expr("substring(s, i - k, k)"), F.expr("substring(s, i - k, k + 1)")
-    pairs = grams.select("label", _bucket(F.concat(F.lit(END), context)).alias("cb"), _bucket(gram).alias("gb"))
-    pairs = pairs.groupBy("label", "cb", "gb").agg(F.count("*").alias("n"))
-    contexts = pairs.groupBy("label", "cb").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
-    hits = pairs.join(contexts, ["label", "cb"]).select("label", F.col("gb").alias("bucket"), (F.col("n") / (F.col("total") + F.col("kinds"))).alias("hit"), F.lit(None).cast("double").alias("low"))
-    lows = contexts.select("label", F.col("cb").alias("bucket"), F.lit(None).cast("double").alias("hit"), (F.col("kinds") / (F.col("total") + F.col("kinds"))).alias("low"))
-    # Buckets of several grams add up; decimals make the sum independent of the order of rows.
-    exact = lambda c: F.sum(F.col(c).cast("decimal(20,12)")).cast("double")
-    cells = hits.unionByName(lows).groupBy("label", "bucket").agg(exact("hit").alias("hit"), F.max("low").alias("low"))
-    one = lambda label, c, default: F.coalesce(F.max(F.when(F.col("label") == label, F.col(c))), F.lit(default)).cast("float")
-    every = labelled.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
-    rows = every.join(cells, "bucket", "left").groupBy("bucket").agg(
-        one("allow", "hit", 0.0).alias("hit_allow"), one("allow", "low", 1.0).alias("low_allow"),
-        one("block", "hit", 0.0).alias("hit_block"), one("block", "low", 1.0).alias("low_block"),
-    )
-    # BUCKETS rows at any input size.
-    packed = rows.groupBy().agg(F.sort_array(F.collect_list(F.struct("bucket", "hit_allow", "low_allow", "hit_block", "low_block"))).alias("m"))
-    return packed.select(F.struct(*[F.col(f"m.{c}").alias(c) for c in ("hit_allow", "low_allow", "hit_block", "low_block")]).alias("model"))
+    grams = labelled.select("label", F.explode(_grams(text)).alias("gram"))
+    return grams.groupBy("gram").agg(*[F.count_if(F.col("label") == label).alias(label) for label in ("allow", "block")])
 
 
-def scores(urls: DataFrame, fitted: DataFrame) -> DataFrame:
-    """host, path, label and score of every distinct URL.
+def ratios(grams: DataFrame, counts: DataFrame) -> DataFrame:
+    """gram, ratio: log P(last character | the others, allow) - log P(.. | block) of each of the distinct grams.
 
-    score: (log P(url | allow) - log P(url | block)) / length, in nats per character.
+    Every join is of distinct grams, so that no key has more rows than there are characters.
     """
-    urls = urls.select("host", "path", "label").distinct()
-    at = urls.select("*", _padded().alias("s")).select("*", F.explode(F.sequence(F.lit(ORDER + 1), F.length("s"))).alias("i"))
-    at = at.withColumn("m", fitted.scalar())
-    p_allow, p_block = F.lit(UNIFORM), F.lit(UNIFORM)
+    labels, lower = ("allow", "block"), None
     for k in range(ORDER + 1):
-        # One column for each order, so that generated code computes a probability once.
-        c, g = _bucket(F.concat(F.lit(END), F.expr(f"substring(s, i - {k}, {k})"))), _bucket(F.expr(f"substring(s, i - {k}, {k + 1})"))
-        at = at.withColumns({f"c{k}": c, f"g{k}": g})
-        get = lambda name, b, k=k: F.get(F.col(f"m.{name}"), F.col(f"{b}{k}"))
-        p_allow = get("hit_allow", "g") + get("low_allow", "c") * p_allow
-        p_block = get("hit_block", "g") + get("low_block", "c") * p_block
-    total = F.sum(F.log(p_allow) - F.log(p_block))
-    empty = (F.col("host") == "") & (F.col("path") == "")
-    mean = F.round(total / (F.length("host") + F.length("path") + 1), 9)
-    return at.groupBy("host", "path", "label").agg(F.when(empty, F.lit(0.0)).otherwise(mean).alias("score"))
+        suffix = F.substring("gram", ORDER + 1 - k, k + 1)
+        level = counts.groupBy(suffix.alias("g")).agg(*[F.sum(x).alias(x) for x in labels])
+        sums = [a for x in labels for a in (F.sum(x).alias(f"total_{x}"), F.count_if(F.col(x) > 0).alias(f"kinds_{x}"))]
+        contexts = level.groupBy(F.substring("g", 1, k).alias("context")).agg(*sums)
+        found = grams.select(suffix.alias("g")).distinct().join(level, "g", "left")
+        found = found.withColumn("context", F.substring("g", 1, k)).join(contexts, "context", "left").withColumn("shorter", F.substring("g", 2, k))
+        found = found.join(lower, "shorter") if lower is not None else found.withColumns({f"lower_{x}": F.lit(UNIFORM) for x in labels})
+        each = {}
+        for x in labels:
+            n, total, kinds = F.coalesce(x, F.lit(0)), F.col(f"total_{x}"), F.col(f"kinds_{x}")
+            each[x] = F.when(total > 0, (n + kinds * F.col(f"lower_{x}")) / (total + kinds)).otherwise(F.col(f"lower_{x}"))
+        lower = found.select(F.col("g").alias("shorter"), *[p.alias(f"lower_{x}") for x, p in each.items()])
+    return lower.select(F.col("shorter").alias("gram"), (F.log("lower_allow") - F.log("lower_block")).alias("ratio"))
+
+
+def scores(urls: DataFrame, counts: DataFrame, text: str = TEXT) -> DataFrame:
+    """host, path, label, text and score of every distinct URL.
+
+    score: (log P(text | allow) - log P(text | block)) / length, in nats per character.
+    """
+    urls = urls.select("host", "path", "label", F.expr(text).alias("text")).distinct()
+    urls = written(urls.withColumn("uid", F.monotonically_increasing_id()), "url-texts")
+    at = urls.select("uid", F.explode(_grams("text")).alias("gram"))
+    grams = written(at.select("gram").distinct(), "url-grams")
+    at = at.hint("merge").join(ratios(grams, counts), "gram")  # beginnings of URLs are hot: AQE splits sort-merge joins
+    # Whole numbers make the sum independent of the order of rows.
+    total = at.groupBy("uid").agg((F.sum(F.round(F.col("ratio") * UNITS).cast("long")) / UNITS).alias("total"))
+    mean = F.round(F.col("total") / (F.length("text") + 1), 9)
+    return urls.join(total, "uid").select("host", "path", "label", "text", F.when(F.col("text") == "", F.lit(0.0)).otherwise(mean).alias("score"))
 
 
 def threshold(scored: DataFrame) -> DataFrame:
@@ -141,11 +139,11 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]] = RULES) -> DataFrame:
     urls = urls.withColumns({"rule": rule, "label": verdict})
     held = F.pmod(F.xxhash64(F.lit("calibration"), "host", "path"), F.lit(4)) == 0
     labelled = urls.where("label IS NOT NULL")
-    fitted = written(model(labelled.where(~held)), "url-model")  # one row of fixed size
-    scored = written(scores(urls, fitted), "url-scores").withColumn("held", held)  # one pass serves calibration and verdicts
+    counts = written(model(labelled.where(~held)), "url-model")
+    scored = written(scores(urls, counts), "url-scores").withColumn("held", held)  # one pass serves calibration and verdicts
     edge = threshold(scored.where("held AND label IS NOT NULL"))
     by_model = F.when(F.col("score") >= F.col("threshold"), "allow").otherwise("block")
-    judged = urls.join(scored.drop("label", "held"), ["host", "path"], "left").withColumn("threshold", edge.scalar())
+    judged = urls.join(scored.drop("label", "text", "held"), ["host", "path"], "left").withColumn("threshold", edge.scalar())
     return judged.select("page_id", "host", "path", "rule", F.coalesce("label", by_model).alias("verdict"), "score", "threshold")
 
 

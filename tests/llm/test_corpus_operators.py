@@ -340,6 +340,42 @@ def test_url_scores_against_a_direct_model(spark):
     assert found["new.org", "/x"] > 0
 
 
+def direct_scores(urls):
+    """Scores of (text, label), by a direct model of the labelled ones."""
+    k_max, counts = url_filter.ORDER, defaultdict(lambda: defaultdict(int))
+    pad = lambda t: "\x01" * k_max + t + "\x02"
+    for t, label in urls:
+        s = pad(t)
+        for i in range(k_max, len(s)):
+            for k in range(k_max + 1):
+                counts[label, s[i - k : i]][s[i]] += 1
+
+    def log_p(label, s):
+        total = 0.0
+        for i in range(k_max, len(s)):
+            prob = url_filter.UNIFORM
+            for k in range(k_max + 1):
+                own = counts.get((label, s[i - k : i]), {})
+                n, kinds = sum(own.values()), len(own)
+                prob = (own.get(s[i], 0) + kinds * prob) / (n + kinds) if n else prob
+            total += np.log(prob)
+        return total
+
+    return {t: (log_p("allow", pad(t)) - log_p("block", pad(t))) / (len(t) + 1) for t, _ in urls}
+
+
+def test_url_models_grow_with_the_urls(spark):
+    """About 100,000 distinct grams: a table of fixed size would mix them."""
+    r = random.Random(8)
+    word = lambda letters, n: "".join(r.choice(letters) for _ in range(n))
+    letters = {"allow": "abcdefghijklmnopqrstuvwxyzABCDé", "block": "stuvwxyzABCDEFGHIJKLMNOPQ0123😀", None: "abcdefgtuvwxyzABCDGHIJKLMé😀"}
+    urls = [(word("abc", 3), "/" + word(letters[label], 40), label) for label in letters for _ in range(500)]
+    rows = spark.createDataFrame(urls, "host string, path string, label string")
+    found = {r.host + r.path: r.score for r in url_filter.scores(rows, url_filter.model(rows.where("label IS NOT NULL"))).collect()}
+    wanted = direct_scores([(h + p, label) for h, p, label in urls])
+    assert found.keys() == wanted.keys() and max(abs(found[t] - wanted[t]) for t in wanted) < 1e-7
+
+
 def test_url_threshold(spark):
     rows = [(0.5, "allow")] * 9 + [(-0.1, "allow")] + [(-1.0, "block")] * 10
     edge = url_filter.threshold(spark.createDataFrame(rows, "score double, label string")).first().edge
