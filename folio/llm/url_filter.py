@@ -10,8 +10,11 @@ The counts are exact: a table of every gram of ORDER + 1 characters, which grows
 holds the shorter grams as their suffixes. Probabilities are computed once for each distinct gram that is to be
 scored, by joins on grams, order by order, and then joined to the places of the URLs.
 
-Defined cases: a null URL or one without '://' has empty host and path, matches no rule and scores 0;
-without labelled URLs of both kinds the threshold is 0; a score equal to the threshold is allowed.
+Host and path are for the rules only; the models count and score the whole URL (null: empty). Which URLs the
+counting leaves out goes by host and path, so that URLs that differ in their query only are on the same side.
+
+Defined cases: a null URL or one without '://' has empty host and path and matches no rule; a null or empty URL
+scores 0; without labelled URLs of both kinds the threshold is 0; a score equal to the threshold is allowed.
 Repeated rows each get their verdict. Other columns are ignored.
 """
 
@@ -36,7 +39,7 @@ START, END = "\x01", "\x02"
 SPAN, BINS = 8.0, 512
 #: Probability of a character in an empty context that the model never saw.
 UNIFORM = 1.0 / 256
-#: What the models read of a URL, and parts of a nat in which log ratios are added up.
+#: What the models read unless told otherwise (judge() has them read the URL), and parts of a nat in which log ratios are added up.
 TEXT = "concat(host, path)"
 UNITS = 1e10
 
@@ -134,16 +137,16 @@ def threshold(scored: DataFrame) -> DataFrame:
 
 def judge(pages: DataFrame, rules: list[tuple[str, str]] = RULES) -> DataFrame:
     """page_id, host, path, rule, verdict, score, threshold of every row of pages (page_id, url)."""
-    urls = with_host_and_path(pages.select("page_id", "url"))
+    urls = with_host_and_path(pages.select("page_id", F.coalesce("url", F.lit("")).alias("url")))
     rule, verdict = rule_of(rules)
     urls = urls.withColumns({"rule": rule, "label": verdict})
     held = F.pmod(F.xxhash64(F.lit("calibration"), "host", "path"), F.lit(4)) == 0
     labelled = urls.where("label IS NOT NULL")
-    counts = written(model(labelled.where(~held)), "url-model")
-    scored = written(scores(urls, counts), "url-scores").withColumn("held", held)  # one pass serves calibration and verdicts
+    counts = written(model(labelled.where(~held), "url"), "url-model")
+    scored = written(scores(urls, counts, "url"), "url-scores").withColumn("held", held)  # one pass serves calibration and verdicts
     edge = threshold(scored.where("held AND label IS NOT NULL"))
     by_model = F.when(F.col("score") >= F.col("threshold"), "allow").otherwise("block")
-    judged = urls.join(scored.drop("label", "text", "held"), ["host", "path"], "left").withColumn("threshold", edge.scalar())
+    judged = urls.join(scored.select(F.col("text").alias("url"), "score"), "url", "left").withColumn("threshold", edge.scalar())
     return judged.select("page_id", "host", "path", "rule", F.coalesce("label", by_model).alias("verdict"), "score", "threshold")
 
 

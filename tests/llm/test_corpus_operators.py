@@ -376,6 +376,15 @@ def test_url_models_grow_with_the_urls(spark):
     assert found.keys() == wanted.keys() and max(abs(found[t] - wanted[t]) for t in wanted) < 1e-7
 
 
+def test_url_models_read_the_whole_url(spark):
+    ruled = [f"http://{h}/p{k}?{q}#{f}" for h, q, f in (("a.org", "page=2", "top"), ("shop.com/de", "bet=win", "spam")) for k in range(40)]
+    free = ["http://a.net/p?page=2#top", "http://a.net/p?bet=win#top", "http://a.net/p?bet=win#spam", "a.net/p?page=2", "a.net/p?bet=win", "page=2#top", "bet=win#spam"]
+    urls = ruled + free + ["", None]
+    found = [r.score for r in url_filter.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).orderBy("page_id").collect()][len(ruled) :]
+    assert len(set(found[: len(free)])) == len(free) and found[len(free) :] == [0.0, 0.0]
+    assert found[0] > found[1] > found[2] and found[3] > found[4] and found[5] > 0 > found[6]
+
+
 def test_url_threshold(spark):
     rows = [(0.5, "allow")] * 9 + [(-0.1, "allow")] + [(-1.0, "block")] * 10
     edge = url_filter.threshold(spark.createDataFrame(rows, "score double, label string")).first().edge
