@@ -110,11 +110,17 @@ def point(h: np.ndarray) -> np.ndarray:
     return np.bincount((h >> np.uint64(57)).astype(np.int64), minlength=GROUPS)
 
 
+def _in_bytes(size: int, p: np.ndarray) -> bytes:
+    """The size and the counts, rounded up to multiples of the least power of two by which each fits a byte."""
+    most, shift = int(p.max(initial=0)), 0
+    while -(-most >> shift) > 255:
+        shift += 1
+    return np.array([size, shift], np.int32).tobytes() + (-(-p >> shift)).astype(np.uint8).tobytes()
+
+
 def small_point(h: np.ndarray) -> bytes:
-    """The size and the counts of the groups, rounded up to multiples of a power of two so that each fits a byte."""
-    p = point(h)
-    shift = max(0, int(p.max(initial=0) - 1).bit_length() - 8)
-    return np.array([len(h), shift], np.int32).tobytes() + (-(-p >> shift)).astype(np.uint8).tobytes()
+    """The size and the counts of the groups in bytes, never less than they are."""
+    return _in_bytes(len(h), point(h))
 
 
 def from_small(data: bytes) -> tuple[int, np.ndarray]:
@@ -257,8 +263,7 @@ def fine_point(h: np.ndarray) -> bytes:
     if len(h) <= 512:
         return small_point(h)
     p = np.bincount((h >> np.uint64(64 - 12)).astype(np.int64), minlength=FINE)
-    shift = max(0, int(p.max() - 1).bit_length() - 8)
-    return np.array([len(h), shift], np.int32).tobytes() + (-(-p >> shift)).astype(np.uint8).tobytes()
+    return _in_bytes(len(h), p)
 
 
 def from_fine(data: bytes) -> tuple[int, np.ndarray]:

@@ -157,6 +157,15 @@ def test_tree_misses_nothing():
     assert passed < len(sets) ** 2 / 10
 
 
+def test_counts_in_bytes_are_upper_bounds():
+    for most in (0, 1, 254, 255, 256, 257, 510, 511, 512, 1020, 1021, 1024, 65_536):
+        # Leading bits choose the group: the first of 128, and the first of 4,096.
+        h = np.concatenate([np.arange(most, dtype=np.uint64), np.arange(600, dtype=np.uint64) << np.uint64(54)])
+        for small, back, wanted in ((jaccard_join.small_point, jaccard_join.from_small, jaccard_join.point(h)), (jaccard_join.fine_point, jaccard_join.from_fine, np.bincount((h >> np.uint64(52)).astype(int), minlength=jaccard_join.FINE))):
+            size, p = back(small(h))
+            assert size == len(h) and (p >= wanted).all() and p.max() <= wanted.max() * 1.01 + 1, most
+
+
 # Packing
 
 
