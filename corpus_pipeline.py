@@ -34,7 +34,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents and their places in sequences of 1024 tokens."""
-    return packing.pack(docs)
+    return packing.pack(docs, added=True)
 
 
 STAGES = [

@@ -33,15 +33,18 @@ LIMIT = 1024
 END_ID = 2
 #: The ranks of the vocabulary of byte_bpe_50k.json: the same ids, by a faster library (a test compares them).
 RANKS = "byte_bpe_50k.tiktoken"
+#: The added token of byte_bpe_50k.json, which `tokenizers` also finds inside texts.
+ADDED = {"<|endoftext|>": 50256}
 
 
 @lru_cache(maxsize=2)
 def encoding(path: str) -> tiktoken.Encoding:
-    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks_of(path), special_tokens={})
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks_of(path), special_tokens=ADDED)
 
 
-def ids_of(text: str, path: str) -> np.ndarray:
-    ids = encoding(path).encode_to_numpy(text, allowed_special=set(), disallowed_special=())
+def ids_of(text: str, path: str, added: bool = False) -> np.ndarray:
+    """added: the added token is one id wherever a text has it (the default of `tokenizers`), else it is text like any other."""
+    ids = encoding(path).encode_to_numpy(text, allowed_special=set(ADDED) if added else set(), disallowed_special=())
     return np.append(ids.astype("<u4"), np.uint32(END_ID)).astype("<u4")
 
 
@@ -51,7 +54,7 @@ def cuts(n: int, limit: int = LIMIT) -> list[tuple[int, int]]:
     return [(0, first)] + [(at, limit) for at in range(first, n, limit)]
 
 
-def pieces(docs: DataFrame, path: str, limit: int = LIMIT, with_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, path: str, limit: int = LIMIT, with_ids: bool = False, added: bool = False) -> DataFrame:
     """A row for each piece; part and local: its input partition, and its rank there among pieces of its length."""
     small_batches(docs.sparkSession)
     types = {"doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64(), "part": pa.int32(), "local": pa.int64()}
@@ -62,7 +65,7 @@ def pieces(docs: DataFrame, path: str, limit: int = LIMIT, with_ids: bool = Fals
         for batch, all_ in texts(batches, "text"):
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), all_, strict=True):
-                ids = ids_of(text, path)
+                ids = ids_of(text, path, added)
                 for k, (start, n) in enumerate(cuts(len(ids), limit)):
                     own = ids[start : start + n]
                     row = (doc_id, k, start, n, zlib.crc32(own.tobytes()), part, ranks[n])
@@ -196,11 +199,11 @@ def plan_for(histogram: np.ndarray) -> Plan:
     return min(plans, key=lambda plan: plan.sequences)
 
 
-def pack(docs: DataFrame, path: str | None = None, limit: int = LIMIT, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, path: str | None = None, limit: int = LIMIT, with_ids: bool = False, added: bool = False) -> DataFrame:
     """A row for each piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids)."""
     spark = docs.sparkSession
     path = path or public_tokenizers.path(RANKS)
-    rows = written(pieces(docs, path, limit, with_ids), "pack-pieces")
+    rows = written(pieces(docs, path, limit, with_ids, added), "pack-pieces")
     counted = rows.groupBy("part", "length").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     shifts = counted.select("part", "length", F.coalesce(before, F.lit(0)).alias("shift"))
@@ -218,4 +221,4 @@ def pack(docs: DataFrame, path: str | None = None, limit: int = LIMIT, with_ids:
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"))
+    return pack(table(spark, sf_dir, "documents"), added=True)

@@ -221,6 +221,19 @@ def test_packing_query(spark):
     assert packing.pack(documents(spark, [])).count() == 0
 
 
+def test_packing_ids_of_the_added_token(spark, tmp_path):
+    """The query and the pipeline's stage give the ids of `tokenizers` in its default setting."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    tokens, r = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), random.Random(4)
+    rows = [(0, "a<|endoftext|>b")] + [(k, "".join(r.choice(["<|endoftext|>", "<|", " ", "\n", "word", " don't", "é😀", "12"]) for _ in range(k))) for k in range(1, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    wanted = {k: zlib.crc32(np.array([*tokens.encode(t, add_special_tokens=False).ids, 2], "<u4").tobytes()) for k, t in rows}
+    assert tokens.encode(rows[0][1], add_special_tokens=False).ids == [64, 50256, 65]
+    for found in (packing.op6_best_fit_packing(spark, str(tmp_path)), corpus_pipeline.packed(spark, docs, "")):
+        assert {x.doc_id: x.ids_crc32 for x in found.collect()} == wanted
+
+
 # Search
 
 
