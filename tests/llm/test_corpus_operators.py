@@ -263,10 +263,47 @@ def test_threshold_stops_early():
     lists, scored = topk_search.SortedLists(np.arange(3000), v), []
     monitor = lists.scores
     lists.scores = lambda rows, q: scored.append(len(rows)) or monitor(rows, q)
-    ids, scores = lists.best(-1, np.array([3, 1, 2, 1]), 5)
+    ids, scores, done = lists.best(-1, np.array([3, 1, 2, 1]), 5)
     full = v @ np.array([3, 1, 2, 1])
     order = np.lexsort((np.arange(3000), -full))[:5]
-    assert (ids == order).all() and (scores == full[order]).all() and sum(scored) < 300
+    assert (ids == order).all() and (scores == full[order]).all() and sum(scored) == done < 300
+
+
+def test_threshold_bound_against_all_scores():
+    """Lists of any shape, with floors and copies: the best of a block are those of all its scores."""
+    r = np.random.default_rng(5)
+    for dims, kind in ((1, 0), (2, 1), (7, 2), (32, 2), (16, 3)):
+        v = [r.integers(-3, 4, (700, dims)), r.integers(0, 1000, (700, dims)), np.round(r.normal(0, 20, (700, dims))), np.round(r.normal(0, 1, (700, dims)) * 3.0 ** r.integers(0, 9, (700, 1)))][kind].astype(np.int64)
+        v[100:130] = v[5]
+        ids = r.integers(0, 600, 700)
+        lists = topk_search.SortedLists(ids, v)
+        for q in [*v[:12], *(v[100:110] * 2), np.zeros(dims, np.int64)]:
+            full = v @ q
+            others = np.flatnonzero(ids != ids[5])
+            order = others[np.lexsort((ids[others], -full[others]))][:20]
+            for floor in (topk_search.LEAST, int(full[order[9]])):
+                found, scores, done = lists.best(int(ids[5]), q, 20, floor)
+                keep = order[full[order] >= floor]
+                assert scores.tolist() == full[keep].tolist() and found.tolist() == ids[keep].tolist() and done <= len(others)
+
+
+def test_search_of_blocks_that_share_ids(spark, monkeypatch):
+    """Blocks are told apart by their vectors and lengths, not by their ids; very large components stay in range."""
+    monkeypatch.setattr(topk_search, "BLOCK", 2)
+    sets = [
+        [(20, [1.0, 2.0]), (21, [1.0, 1.0]), (20, [1.0, 2.0, 3.0]), (21, [1.0, 1.0, 1.0])],
+        [(20, [8.0, 8.0]), (21, [1.0, 1.0]), (22, [2.0, 2.0]), (21, [18.0, 0.0]), (22, [16.0, 0.0]), (40, [1.0, 0.0]), (60, [0.0, 1.0])],
+        [(20, [1e300, -1.0]), (21, [1e300, 0.0]), (22, [-1e300, 5.0]), (40, [1e18, 1e18])],
+    ]
+    for rows in sets:
+        whole = [(i, [min(max(int(np.floor(64 * x)), topk_search.LEAST), topk_search.MOST) for x in v]) for i, v in rows]
+        wanted = []
+        for i, q in whole:
+            if i % 20 == 0:
+                scored = sorted((-min(max(sum(a * b for a, b in zip(q, v, strict=True)), topk_search.LEAST), topk_search.MOST), j) for j, v in whole if j != i and len(v) == len(q))
+                wanted += [(i, k, j, -s) for k, (s, j) in enumerate(scored[:20], 1)]
+        found = topk_search.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+        assert sorted(map(tuple, found.collect())) == sorted(wanted)
 
 
 # Conversations
