@@ -36,6 +36,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few numbers each that are sent to every executor at most.
+SENT_ROWS = 1_000_000
+
+
+def sent(df: DataFrame, rows: int) -> DataFrame:
+    """df, of so many narrow rows, for a join: sent to every executor if it is small, else sorted and merged."""
+    return F.broadcast(df) if rows <= SENT_ROWS else df.hint("merge")
+
+
 def labelled_sample(rows: DataFrame, label: str, most_rows: int, most_chars: int) -> list[tuple[str, object]]:
     """At most most_rows (text, label) of rows (doc_id, text, label), of at most most_chars characters together.
 

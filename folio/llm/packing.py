@@ -2,11 +2,17 @@
 
 A document is its token ids and one end id. Longer ones are cut into pieces of LIMIT tokens, the first of
 which takes the remainder. What is packed are lengths: their histogram has LIMIT bins at any input size.
-Patterns of few documents that fill a sequence are enumerated, their repeat counts are fitted to the
-histogram by non-negative least squares and rounded down, and the rest is packed best-fit, longest
-first, many equal lengths at a time. The outcome is a table of intervals: pieces of a length, from one
-rank to another among their length, go to consecutive sequences at one offset. Ranks are counted in each
-input partition and shifted by the counts of the partitions before it, so no task sees all pieces.
+Patterns of two to four documents are enumerated: every pair of lengths, alone and with the greatest lengths that
+still fit. Their repeat counts are fitted to the histogram by non-negative least squares, first of the patterns
+that fill a sequence, then also of those that leave some room, more in each of the steps. Counts are rounded
+down, and the rest is packed best-fit, longest first, many equal lengths at a time. The outcome is a table of
+intervals: pieces of a length, from one rank to another among their length, go to consecutive sequences at one
+offset. Ranks are counted in each input partition and shifted by the counts of the partitions before it, so no
+task sees all pieces.
+
+Ids are those of `tokenizers` for the whole text. Its split never joins what is before a white space and
+after it, so each piece between such borders is encoded by it once for each worker and remembered; texts with an
+added token, or with a character that only one of the two libraries takes for white space, are encoded whole.
 
 Defined cases: a null text is empty and is one end id; a null doc_id is kept; repeated rows are packed
 each; an empty table gives an empty result; other columns are ignored.
@@ -14,38 +20,73 @@ each; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from folio.llm.byte_bpe import ranks_of
-from folio.llm.common import batches_of, small_batches, table, texts, written
+from folio.llm.common import batches_of, sent, small_batches, table, texts, written
 
 LIMIT = 1024
 END_ID = 2
-#: The ranks of the vocabulary of byte_bpe_50k.json: the same ids, by a faster library (a test compares them).
-RANKS = "byte_bpe_50k.tiktoken"
-#: The added token of byte_bpe_50k.json, which `tokenizers` also finds inside texts.
-ADDED = {"<|endoftext|>": 50256}
+VOCABULARY = "byte_bpe_50k.json"
+#: Bytes of pieces and ids that a Python worker remembers; then it forgets them all.
+REMEMBERED = 48 << 20
+#: A run of other characters with the space before it, or what is left of a run of white space.
+BETWEEN = re.compile(r" ?\S+|\s+(?!\S)|\s+")
+
+
+class Ids:
+    """Token ids as bytes, four each, by the tokenizer in its default setting, without special tokens of its own."""
+
+    def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks of an executor are parallel already
+        with open(path, encoding="utf-8") as f:
+            split = json.load(f)
+        self.tokenizer = Tokenizer.from_file(path)
+        own = split.get("pre_tokenizer") or {}
+        self.apart = split.get("normalizer") is None and own.get("type") == "ByteLevel" and own.get("use_regex", True) and not own.get("add_prefix_space", True)
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = re.compile("|".join(["[\x1c-\x1f]", *added]))
+        self.known: dict[str, bytes] = {}
+        self.size = 0
+
+    def _encoded(self, texts_: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts_, add_special_tokens=False)]
+
+    def of(self, texts_: list[str]) -> list[bytes]:
+        parts = [BETWEEN.findall(t) if self.apart and not self.whole.search(t) else None for t in texts_]
+        if self.size > REMEMBERED:
+            self.known, self.size = {}, 0
+        new = list(set().union(*filter(None, parts)) - self.known.keys())
+        for part, ids in zip(new, self._encoded(new), strict=True):
+            self.known[part] = ids
+            self.size += len(part) + len(ids)
+        whole = iter(self._encoded([t for t, p in zip(texts_, parts, strict=True) if p is None]))
+        return [next(whole) if p is None else b"".join(map(self.known.__getitem__, p)) for p in parts]
 
 
 @lru_cache(maxsize=2)
-def encoding(path: str) -> tiktoken.Encoding:
-    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks_of(path), special_tokens=ADDED)
+def encoder(path: str) -> Ids:
+    """One for each Python worker."""
+    return Ids(path)
 
 
-def ids_of(text: str, path: str, added: bool = False) -> np.ndarray:
-    """added: the added token is one id wherever a text has it (the default of `tokenizers`), else it is text like any other."""
-    ids = encoding(path).encode_to_numpy(text, allowed_special=set(ADDED) if added else set(), disallowed_special=())
-    return np.append(ids.astype("<u4"), np.uint32(END_ID)).astype("<u4")
+def ids_of(texts_: list[str], path: str) -> list[np.ndarray]:
+    """The ids of each text, and the end id."""
+    end = np.array([END_ID], "<u4").tobytes()
+    return [np.frombuffer(ids + end, "<u4") for ids in encoder(path).of(texts_)]
 
 
 def cuts(n: int, limit: int = LIMIT) -> list[tuple[int, int]]:
@@ -54,7 +95,7 @@ def cuts(n: int, limit: int = LIMIT) -> list[tuple[int, int]]:
     return [(0, first)] + [(at, limit) for at in range(first, n, limit)]
 
 
-def pieces(docs: DataFrame, path: str, limit: int = LIMIT, with_ids: bool = False, added: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, path: str, limit: int = LIMIT, with_ids: bool = False) -> DataFrame:
     """A row for each piece; part and local: its input partition, and its rank there among pieces of its length."""
     small_batches(docs.sparkSession)
     types = {"doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64(), "part": pa.int32(), "local": pa.int64()}
@@ -64,8 +105,7 @@ def pieces(docs: DataFrame, path: str, limit: int = LIMIT, with_ids: bool = Fals
         part, make, ranks = TaskContext.get().partitionId(), batches_of(types), [0] * (limit + 1)
         for batch, all_ in texts(batches, "text"):
             rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), all_, strict=True):
-                ids = ids_of(text, path, added)
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), ids_of(all_, path), strict=True):
                 for k, (start, n) in enumerate(cuts(len(ids), limit)):
                     own = ids[start : start + n]
                     row = (doc_id, k, start, n, zlib.crc32(own.tobytes()), part, ranks[n])
@@ -78,48 +118,88 @@ def pieces(docs: DataFrame, path: str, limit: int = LIMIT, with_ids: bool = Fals
     return docs.selectExpr("CAST(doc_id AS long) doc_id", "text").mapInArrow(run, schema)
 
 
-def patterns_of(limit: int) -> list[tuple[int, ...]]:
-    """Lengths, longest first, that fill a sequence: every pair, and three or four with a few splits of what the first leaves."""
-    found = {(limit - a, a) for a in range(1, limit // 2 + 1)}
-    for a in range(1, limit - 1):
-        rest = limit - a
-        found |= {tuple(sorted((a, b, rest - b), reverse=True)) for k in (2, 3, 4, 5, 8) if 0 < (b := rest // k) < rest}
-        if rest >= 3:
-            third = rest // 3
-            found.add(tuple(sorted((a, third, third, rest - 2 * third), reverse=True)))
-    return sorted(found, reverse=True)
+#: Room that patterns may leave in each step of the fit, as divisors of the limit; 0 for none.
+ROOM = (0, 512, 128, 32, 8)
+#: A pattern that would lessen the squares by less than this many pieces is not taken up, and one of a smaller count goes.
+HALF = 0.5
+#: Patterns that one step takes up at most, and steps in all.
+AT_ONCE, STEPS = 256, 400
 
 
-def fitted(histogram: np.ndarray, patterns: list[tuple[int, ...]], rounds: int = 200) -> np.ndarray:
-    """Repeat counts x >= 0 of the patterns that minimise |W (A x - histogram)|: projected gradient with momentum.
-
-    Column p of A counts the lengths of pattern p. W gives long lengths weight, as short ones fit anywhere.
+def patterns_of(histogram: np.ndarray) -> np.ndarray:
+    """Rows of four lengths that are there, longest first, 0 for none: each pair that fits, also with the greatest
+    third length that still fits, and also with the greatest fourth. At most 1.5 times the square of the limit."""
+    limit = len(histogram) - 1
+    there = np.flatnonzero(histogram[:limit] * (np.arange(limit) > 0))
+    fits = np.zeros(limit + 1, np.int64)
+    fits[there] = there
+    fits = np.maximum.accumulate(fits)
+    a, b = (x.ravel() for x in np.meshgrid(there, there, indexing="ij"))
+    a, b = (x[(b <= a) & (a + b <= limit)] for x in (a, b))
+    c = fits[np.minimum(b, limit - a - b)]
+    d = fits[np.minimum(c, limit - a - b - c)]
+    none = np.zeros_like(a)
+    return np.unique(np.concatenate([np.stack(x, axis=1) for x in ((a, b, none, none), (a, b, c, none), (a, b, c, d))]), axis=0)[::-1]
+
+
+def fitted(histogram: np.ndarray, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of patterns and their repeat counts x >= 0 that minimise |A x - histogram|, below the limit.
+
+    Column p of A counts the lengths of pattern p. The active-set method: patterns with the steepest descent are
+    taken up, those of different lengths at once, the squares are minimised over what is taken up, and on
+    the way there what reaches 0 goes. It ends when no pattern would lessen the squares by HALF a piece.
     """
     limit = len(histogram) - 1
-    weight = np.maximum(np.arange(limit + 1) / limit, 0.1)
-    a = np.zeros((limit + 1, len(patterns)))
-    for p, lengths in enumerate(patterns):
-        np.add.at(a[:, p], list(lengths), 1)
-    a *= weight[:, None]
-    b = histogram * weight
-    v = np.ones(len(patterns))
-    for _ in range(20):  # the largest eigenvalue of A'A bounds the step
-        v = a.T @ (a @ v)
-        v /= np.linalg.norm(v)
-    step = 1 / (np.linalg.norm(a @ v) ** 2 * 1.05)
-    # From the counts that pairs alone would have: of the many solutions, one of few patterns is near.
-    x = y = np.array([min(histogram[n] / p.count(n) for n in p) if len(p) == 2 else 0.0 for p in patterns])
-    t = 1.0
-    for _ in range(rounds):
-        new = np.maximum(y - step * (a.T @ (a @ y - b)), 0)
-        u = (1 + (1 + 4 * t * t) ** 0.5) / 2
-        x, y, t = new, new + (t - 1) / u * (new - x), u
-    return x
-
-
-#: Documents in a pattern at most, and shares of the fitted counts, that are tried: patterns of three may spend
-#: the short lengths that long ones want, and what patterns leave gives best-fit more choice.
-TRIED = ((2, 1.0), (4, 1.0), (4, 0.7), (4, 0.4))
+    wanted = histogram.astype(np.float64)
+    wanted[[0, limit]] = 0
+    room = limit - patterns.sum(axis=1)
+    used, x = np.empty(0, np.int64), np.empty(0)
+    a, gram = np.zeros((limit + 1, 0)), np.zeros((0, 0))
+    steps = 0
+    for divisor in ROOM:
+        open_ = np.flatnonzero(room <= (limit // divisor if divisor else 0))
+        single = False
+        while steps < STEPS:
+            steps += 1
+            rest = wanted - a @ x
+            rest[0] = 0
+            descent = rest[patterns[open_]].sum(axis=1)
+            descent[np.isin(open_, used, assume_unique=True)] = 0
+            best = open_[np.argsort(-descent, kind="stable")[: min(16 * AT_ONCE, np.count_nonzero(descent > HALF))]]
+            more, taken = [], np.zeros(limit + 1, bool)
+            for p in best:
+                own = patterns[p][patterns[p] > 0]
+                if not taken[own].any():
+                    taken[own] = True
+                    more.append(p)
+                if len(more) >= (1 if single else AT_ONCE):
+                    break
+            if not more:
+                break
+            new = np.zeros((limit + 1, len(more)))
+            for k in range(patterns.shape[1]):
+                np.add.at(new, (patterns[more, k], np.arange(len(more))), 1)
+            new[0] = 0
+            side = a.T @ new
+            gram = np.block([[gram, side], [side.T, new.T @ new]])
+            a, used, x = np.hstack([a, new]), np.concatenate([used, more]), np.concatenate([x, np.zeros(len(more))])
+            before = float((rest**2).sum())
+            while True:
+                goal = np.linalg.solve(gram + 1e-7 * np.eye(len(used)), a.T @ wanted)
+                low = goal <= 0
+                if not low.any():
+                    x = goal
+                    break
+                x = x + np.min(x[low] / np.maximum(x[low] - goal[low], 1e-300)) * (goal - x)
+                stay = ~(low & (x <= HALF))
+                a, used, x, gram = a[:, stay], used[stay], x[stay], gram[np.ix_(stay, stay)]
+            if float(((wanted - a @ x) ** 2).sum()) < before * (1 - 1e-4):
+                single = False
+            elif single:
+                break
+            else:  # patterns that were taken up together undid each other
+                single = True
+    return used, x
 
 
 class Plan:
@@ -132,6 +212,7 @@ class Plan:
         self.rank = [0] * (self.limit + 1)
         self.intervals: list[tuple[int, int, int, int, int]] = []
         self.sequences = 0
+        self.room: dict[int, list[tuple[int, int]]] = {}  # free tokens: runs of (first sequence, how many)
         self._by_patterns(counts)
         self._best_fit()
 
@@ -150,11 +231,13 @@ class Plan:
             for length in pattern:
                 self._put(length, n, self.sequences, offset)
                 offset += length
+            if offset < self.limit:
+                self.room.setdefault(self.limit - offset, []).append((self.sequences, n))
             self.sequences += n
 
     def _best_fit(self) -> None:
         """Longest first, each into the fullest sequence that takes it; equal lengths and equal sequences at a time."""
-        room: dict[int, list[tuple[int, int]]] = {}  # free tokens: runs of (first sequence, how many)
+        room = self.room
 
         def fill(length: int, free: int, first: int, n: int) -> None:
             """Of n sequences with so many free tokens, fills as many as pieces are left for; the rest keep their room."""
@@ -189,21 +272,19 @@ class Plan:
 
 
 def plan_for(histogram: np.ndarray) -> Plan:
-    """The fitted patterns, of TRIED those that leave the fewest sequences (the first of them, if equal)."""
-    there = [p for p in patterns_of(len(histogram) - 1) if all(histogram[n] for n in p)]
-    counts: dict[int, list] = {}
-    for most in {m for m, _ in TRIED}:
-        few = [p for p in there if len(p) <= most]
-        counts[most] = list(zip(few, fitted(np.array(histogram, float), few) if few else [], strict=True))
-    plans = (Plan(histogram, [(p, share * n) for p, n in counts[most]]) for most, share in TRIED)
-    return min(plans, key=lambda plan: plan.sequences)
+    """The fitted patterns, those with the longest lengths first, and best-fit for the rest."""
+    histogram = np.asarray(histogram, np.int64)
+    patterns = patterns_of(histogram)
+    used, x = fitted(histogram, patterns)
+    order = np.argsort(used)  # patterns are sorted, longest first
+    return Plan(histogram, [(tuple(int(n) for n in patterns[used[i]] if n), float(x[i])) for i in order])
 
 
-def pack(docs: DataFrame, path: str | None = None, limit: int = LIMIT, with_ids: bool = False, added: bool = False) -> DataFrame:
+def pack(docs: DataFrame, path: str | None = None, limit: int = LIMIT, with_ids: bool = False) -> DataFrame:
     """A row for each piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids)."""
     spark = docs.sparkSession
-    path = path or public_tokenizers.path(RANKS)
-    rows = written(pieces(docs, path, limit, with_ids, added), "pack-pieces")
+    path = path or public_tokenizers.path(VOCABULARY)
+    rows = written(pieces(docs, path, limit, with_ids), "pack-pieces")
     counted = rows.groupBy("part", "length").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     shifts = counted.select("part", "length", F.coalesce(before, F.lit(0)).alias("shift"))
@@ -211,14 +292,14 @@ def pack(docs: DataFrame, path: str | None = None, limit: int = LIMIT, with_ids:
     for r in counted.groupBy("length").agg(F.sum("n").alias("n")).collect():  # limit rows
         histogram[r.length] = r.n
     plan = plan_for(histogram)
-    # Bounded by the numbers of patterns and lengths, whatever the input.
+    # Their number follows from the numbers of patterns and lengths, whatever the input; its size is checked all the same.
     intervals = spark.createDataFrame(plan.intervals or [(0, 0, 0, 0, 0)], "length long, low long, high long, first long, offset long")
     ranked = rows.join(shifts, ["part", "length"]).withColumn("rank", F.col("local") + F.col("shift"))
     there = (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high"))
-    placed = ranked.join(F.broadcast(intervals.withColumnRenamed("length", "_length")), (F.col("length") == F.col("_length")) & there)
+    placed = ranked.join(sent(intervals.withColumnRenamed("length", "_length"), len(plan.intervals)), (F.col("length") == F.col("_length")) & there)
     out = ["doc_id", "piece", "start", "length", "ids_crc32", (F.col("first") + F.col("rank") - F.col("low")).alias("sequence_id"), "offset"]
     return placed.select(*out, *["ids"] * with_ids)
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"), added=True)
+    return pack(table(spark, sf_dir, "documents"))

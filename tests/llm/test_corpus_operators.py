@@ -8,11 +8,14 @@ import random
 import re
 import zlib
 from collections import defaultdict
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pytest
 from duck import compare
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -196,13 +199,42 @@ def test_packing_plans():
         tokens = int((histogram * np.arange(limit + 1)).sum())
         least = max(-(-tokens // limit), int(histogram[limit // 2 + 1 :].sum()))
         assert least <= plan.sequences <= least * 1.03 + 1
+        assert plan.sequences <= packing.Plan(histogram, []).sequences
+
+
+def test_patterns_beat_best_fit_alone():
+    """Lengths of which best-fit wastes room: it pairs 50 with 35 and 30s, though 50, 30, 20 and 35, 35, 30 fill sequences."""
+    histogram = np.zeros(101, np.int64)
+    histogram[[50, 30, 20, 35]] = [4000, 4000 + 1000, 4000, 2000]
+    plan, alone = check_plan(histogram), packing.Plan(histogram, [])
+    least = -(-int((histogram * np.arange(101)).sum()) // 100)
+    assert plan.sequences == least == 5000 and alone.sequences > 1.02 * least
+    r = np.random.default_rng(8)
+    histogram = np.bincount(np.clip(r.lognormal(5.5, 0.8, 400_000).astype(int), 1, 1024), minlength=1025)
+    histogram[r.random(1025) < 0.4] = 0
+    plan, alone = check_plan(histogram), packing.Plan(histogram, [])
+    assert plan.sequences <= alone.sequences
+
+
+def test_fit_is_converged():
+    """No pattern that fills a sequence would lessen the squares by half a piece, and no count is negative."""
+    r = np.random.default_rng(9)
+    histogram = np.bincount(r.integers(1, 65, 5000), minlength=65)
+    patterns = packing.patterns_of(histogram)
+    used, x = packing.fitted(histogram, patterns)
+    rest = histogram.astype(float)
+    rest[[0, 64]] = 0
+    for p, n in zip(patterns[used], x, strict=True):
+        np.subtract.at(rest, p[p > 0], n)
+    rest[[0, 64]] = 0
+    others = np.setdiff1d(np.flatnonzero(patterns.sum(axis=1) == 64), used)
+    assert (x > 0).all() and rest[patterns[others]].sum(axis=1).max() <= packing.HALF and {2, 3, 4} == {int((p > 0).sum()) for p in patterns}
 
 
 def test_packing_query(spark):
     rows = [(1, None), (2, ""), (2, "again, again"), (None, "some text"), (5, "long words here " * 3000), (6, "<|endoftext|>")]
     docs = documents(spark, rows).union(documents(spark, [(100 + i, f"text number {i} " * (i % 50)) for i in range(200)]))
     tokens = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokens.encode_special_tokens = True
     found = packing.pack(docs, with_ids=True).collect()
     by, wanted = defaultdict(list), defaultdict(list)
     for r in found:
@@ -221,6 +253,18 @@ def test_packing_query(spark):
     assert packing.pack(documents(spark, [])).count() == 0
 
 
+@given(st.lists(st.sampled_from([" ", "  ", "\n", "\t", "\r\n", "\x1c", "\x1f", "\x85", "\xa0", "\u2003", "\u3000", "a", "word", "É", "don't", "'s", "12", "½", ".", "...", "<|", "<|endoftext|>", "😀", "\u0301", "\0"]), max_size=25))
+@settings(max_examples=600, deadline=None)
+def test_packing_ids_are_those_of_whole_texts(parts):
+    path, text = public_tokenizers.path("byte_bpe_50k.json"), "".join(parts)
+    assert packing.ids_of([text, "x"], path)[0].tolist() == [*whole_tokenizer(path).encode(text, add_special_tokens=False).ids, 2]
+
+
+@lru_cache
+def whole_tokenizer(path):
+    return Tokenizer.from_file(path)
+
+
 def test_packing_ids_of_the_added_token(spark, tmp_path):
     """The query and the pipeline's stage give the ids of `tokenizers` in its default setting."""
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
