@@ -46,6 +46,9 @@ REMEMBERED = 48 << 20
 #: A run of other characters with the space before it, or what is left of a run of white space.
 BETWEEN = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 
+#: What Python takes for white space and the tokenizer's expression does not.
+ODD = re.compile("[\x1c-\x1f]")
+
 
 class Ids:
     """Token ids as bytes, four each, by the tokenizer in its default setting, without special tokens of its own."""
@@ -57,24 +60,35 @@ class Ids:
         self.tokenizer = Tokenizer.from_file(path)
         own = split.get("pre_tokenizer") or {}
         self.apart = split.get("normalizer") is None and own.get("type") == "ByteLevel" and own.get("use_regex", True) and not own.get("add_prefix_space", True)
-        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join(["[\x1c-\x1f]", *added]))
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        #: Bytes of each token: a token's characters stand for one byte each.
+        self.bytes = np.zeros(max(self.tokenizer.get_vocab().values(), default=0) + 1, np.int64)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.bytes[i] = len(token)
         self.known: dict[str, bytes] = {}
         self.size = 0
 
-    def _encoded(self, texts_: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts_, add_special_tokens=False)]
+    def _learn(self, new: list[str]) -> None:
+        """Encodes pieces in one call, each as a word of its own; where the ids of each end follows from their bytes."""
+        if new:
+            ids = np.array(self.tokenizer.encode_batch_fast([new], is_pretokenized=True, add_special_tokens=False)[0].ids, "<u4")
+            ends = np.searchsorted(np.cumsum(self.bytes[ids]), np.cumsum([len(part.encode()) for part in new])) + 1
+            data, start = ids.tobytes(), 0
+            for part, end in zip(new, (4 * ends).tolist(), strict=True):
+                self.known[part] = data[start:end]
+                start = end
+            self.size += len(data) + sum(map(len, new))
+
+    def _is_whole(self, text: str) -> bool:
+        return not self.apart or any(t in text for t in self.added) or bool(ODD.search(text))
 
     def of(self, texts_: list[str]) -> list[bytes]:
-        parts = [BETWEEN.findall(t) if self.apart and not self.whole.search(t) else None for t in texts_]
+        parts = [None if self._is_whole(t) else BETWEEN.findall(t) for t in texts_]
         if self.size > REMEMBERED:
             self.known, self.size = {}, 0
-        new = list(set().union(*filter(None, parts)) - self.known.keys())
-        for part, ids in zip(new, self._encoded(new), strict=True):
-            self.known[part] = ids
-            self.size += len(part) + len(ids)
-        whole = iter(self._encoded([t for t, p in zip(texts_, parts, strict=True) if p is None]))
-        return [next(whole) if p is None else b"".join(map(self.known.__getitem__, p)) for p in parts]
+        self._learn(list(set().union(*filter(None, parts)) - self.known.keys()))
+        whole = iter(self.tokenizer.encode_batch_fast([t for t, p in zip(texts_, parts, strict=True) if p is None], add_special_tokens=False))
+        return [array("I", next(whole).ids).tobytes() if p is None else b"".join(map(self.known.__getitem__, p)) for p in parts]
 
 
 @lru_cache(maxsize=2)
