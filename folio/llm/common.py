@@ -45,6 +45,14 @@ def sent(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= SENT_ROWS else df.hint("merge")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores before it as no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def labelled_sample(rows: DataFrame, label: str, most_rows: int, most_chars: int) -> list[tuple[str, object]]:
     """At most most_rows (text, label) of rows (doc_id, text, label), of at most most_chars characters together.
 

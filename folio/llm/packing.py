@@ -11,7 +11,7 @@ offset. Ranks are counted in each input partition and shifted by the counts of t
 task sees all pieces.
 
 Ids are those of `tokenizers` for the whole text. Its split never joins what is before a white space and
-after it, so each piece between such borders is encoded by it once for each worker and remembered; texts with an
+after it, or letters and the punctuation after them, so each piece between such borders is encoded by it once for each worker and remembered; texts with an
 added token, or with a character that only one of the two libraries takes for white space, are encoded whole.
 
 Defined cases: a null text is empty and is one end id; a null doc_id is kept; repeated rows are packed
@@ -43,8 +43,9 @@ END_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
 #: Bytes of pieces and ids that a Python worker remembers; then it forgets them all.
 REMEMBERED = 48 << 20
-#: A run of other characters with the space before it, or what is left of a run of white space.
-BETWEEN = re.compile(r" ?\S+|\s+(?!\S)|\s+")
+#: Letters before punctuation or white space, punctuation after them, another run without white space (each
+#: with the space before it), or what is left of a run of white space. No token reaches over such a border.
+BETWEEN = re.compile(r" ?[A-Za-z]+(?=[\s,.;:!?])|[,.;:!?]+(?=\s|\Z)| ?\S+|\s+(?!\S)|\s+")
 
 #: What Python takes for white space and the tokenizer's expression does not.
 ODD = re.compile("[\x1c-\x1f]")

@@ -253,7 +253,7 @@ def test_packing_query(spark):
     assert packing.pack(documents(spark, [])).count() == 0
 
 
-@given(st.lists(st.sampled_from([" ", "  ", "\n", "\t", "\r\n", "\x1c", "\x1f", "\x85", "\xa0", "\u2003", "\u3000", "a", "word", "É", "don't", "'s", "12", "½", ".", "...", "<|", "<|endoftext|>", "😀", "\u0301", "\0"]), max_size=25))
+@given(st.lists(st.sampled_from([" ", "  ", "\n", "\t", "\r\n", "\x1c", "\x1f", "\x85", "\xa0", "\u2003", "\u3000", "a", "word", "É", "don't", "'s", "12", "½", ".", "...", ",", "?!", ";)", "(", "<|", "<|endoftext|>", "😀", "\u0301", "\0"]), max_size=25))
 @settings(max_examples=600, deadline=None)
 def test_packing_ids_are_those_of_whole_texts(parts):
     path, text = public_tokenizers.path("byte_bpe_50k.json"), "".join(parts)

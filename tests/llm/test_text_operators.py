@@ -15,7 +15,7 @@ import tiktoken
 from duck import compare
 from pyspark.sql import functions as F
 
-from folio.llm import byte_bpe, language_id, quality_cnn, secret_scan
+from folio.llm import byte_bpe, common, language_id, quality_cnn, secret_scan
 from folio.llm.common import table
 
 SF = "/root/testdata/sf0.001"
@@ -110,6 +110,21 @@ def test_redaction(spark):
     assert secret_scan.redact(docs).columns == docs.columns
 
 
+def test_secrets_many_in_one_text(spark, monkeypatch):
+    """Work is linear in the spans of a text; rules without an index alone, and with one alone; few candidates or many."""
+    text = "".join(f"{'é' * (k % 7)} deadbeefdeadbeef{k % 10} token={k:012d}" for k in range(30_000))
+    docs = spark.createDataFrame([(1, text, 1, "x", 2), (1, text, 1, "x", 2), (2, "key", 3, "y", 4)], "doc_id long, text string, _h long, parts string, h int")
+    for limit in (1_000_000, 0):
+        monkeypatch.setattr(common, "SENT_ROWS", limit)
+        for rules in (secret_scan.RULES, secret_scan.BASE[2:], secret_scan.BASE[:1]):
+            found = {r.doc_id: [tuple(s) for s in r.spans] for r in secret_scan.scan(docs, rules).collect()}
+            assert len(found[1]) == 30_000 * (1 + (len(rules) > 1)) and found[2] == []
+        clean = secret_scan.redact(docs)
+        rows = clean.collect()
+        assert clean.columns == docs.columns and len(rows) == 3 and {(r._h, r.parts, r.h) for r in rows} == {(1, "x", 2), (3, "y", 4)}
+        assert {r.text for r in rows} == {"key", "".join(f"{'é' * (k % 7)} [secret] [secret]" for k in range(30_000))}
+
+
 def test_trigram_queries_never_miss():
     r, pool = random.Random(2), [s for s in SECRETS if s]
 
