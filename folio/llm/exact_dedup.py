@@ -2,7 +2,8 @@
 
 1. Each partition of the input streams through a table of bounded size; the first row of a text is its
    local leader. A hot text leaves one leader for each table, however many rows it has.
-2. Leaders are dealt out by the hash of their text. In each task a table takes distinct texts up to its
+2. Leaders are dealt out by the hash of their text; where more than MANY have one hash, first by the hash and a
+   salt, so that no task has all leaders of a hot text. In each task a table takes distinct texts up to its
    budget; rows that match are settled at once, the others go to FAN spill files by further bits of the
    hash, and each file is treated the same way, until what is left of it fits.
 3. Groups of leaders give the row that stays, its group's size, and so each row's fate.
@@ -33,12 +34,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folio.llm.common import batches_of, small_batches, table, written
+from folio.llm.common import batches_of, sent, small_batches, table, written
 
 #: Bytes of distinct text that a table holds.
 BUDGET = 32 << 20
 #: Spill files of one step of partitioning.
 FAN = 16
+#: Leaders of one hash that go to one task; more are settled in SALTS groups first.
+MANY, SALTS = 64, 64
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -154,7 +157,7 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for gid, h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 yield h & ((1 << 64) - 1), normalised(text), gid
 
-    make = batches_of({"__gid": pa.int64(), "__root": pa.int64()})
+    make = batches_of({"gid": pa.int64(), "root": pa.int64()})
     gids, roots = [], []
     for gid, root in grace(rows()):
         gids.append(gid)
@@ -165,34 +168,55 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield make(gids, roots)
 
 
-#: Columns that fates() adds, and the names they have in a result.
-ADDED = {"__keep_id": "keep_id", "__group_size": "group_size", "__kept": "kept", "__sha256": "text_sha256"}
+#: Columns that fates() adds beside row.
+ADDED = ("keep_id", "group_size", "kept", "text_sha256")
+
+
+def _settled(leaders: DataFrame) -> DataFrame:
+    """gid and root of leaders (gid, h, text), those of one hash in few tasks or in one."""
+    # Hashes of many leaders: at most one in MANY of all, and their numbers only.
+    hot = written(leaders.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > MANY).select(F.col("h").alias("hot")), "dedup-hot")
+    n = hot.count()
+    settle = lambda df: df.select("gid", "h", "text").mapInArrow(_settle, "gid long, root long")
+    if not n:
+        return written(settle(leaders.repartition("h")), "dedup-roots")
+    marked = leaders.join(sent(hot, n), F.col("h") == F.col("hot"), "left")
+    salted = marked.where("hot IS NOT NULL").withColumn("salt", F.pmod(F.xxhash64("gid"), F.lit(SALTS))).repartition("h", "salt")
+    first = written(settle(salted), "dedup-first")
+    heads = first.where("gid = root").select(F.col("gid").alias("head"))
+    left = marked.where("hot IS NOT NULL").join(sent(heads, n * SALTS), F.col("gid") == F.col("head"), "left_semi")
+    last = written(settle(marked.where("hot IS NULL").unionByName(left).repartition("h")), "dedup-roots")
+    later = first.where("gid <> root").select(F.col("gid").alias("own"), F.col("root").alias("at"))
+    return last.unionByName(later.join(last, F.col("at") == F.col("gid")).select(F.col("own").alias("gid"), "root"))
 
 
 def fates(docs: DataFrame) -> DataFrame:
-    """docs with __keep_id, __group_size, __kept and __sha256 (of the normalised text)."""
+    """row (a struct of the columns of docs), and keep_id, group_size, kept and text_sha256 (of the normalised text)."""
     small_batches(docs.sparkSession)
     own = T.StructType(
-        [T.StructField("__rid", T.LongType()), T.StructField("__gid", T.LongType()), T.StructField("__h", T.LongType()), T.StructField("__sha256", T.StringType()), T.StructField("__lead", T.BooleanType())]
+        [T.StructField("rid", T.LongType()), T.StructField("gid", T.LongType()), T.StructField("h", T.LongType()), T.StructField("text_sha256", T.StringType()), T.StructField("lead", T.BooleanType())]
     )
-    rows = written(docs.mapInArrow(_local(own), T.StructType(docs.schema.fields + own.fields)), "dedup-rows")
-    leaders = rows.where("__lead").select("__gid", "__h", "text").repartition("__h")
-    roots = written(leaders.mapInArrow(_settle, "__gid long, __root long"), "dedup-roots")
-    local = rows.groupBy("__gid").agg(F.max(F.struct("doc_id", "__rid")).alias("__last"), F.count("*").alias("__n"))
-    groups = local.join(roots, "__gid").groupBy("__root").agg(F.max("__last").alias("__last"), F.sum("__n").alias("__group_size"))
-    each = roots.join(groups, "__root").select("__gid", F.col("__last.doc_id").alias("__keep_id"), F.col("__last.__rid").alias("__keep"), "__group_size")
-    out = rows.join(each, "__gid")
-    return out.withColumn("__kept", F.col("__rid") == F.col("__keep")).select(*docs.columns, *ADDED)
+    # The caller's row travels as one column, so that its names meet none of these; its text is beside it once.
+    rest = [c for c in docs.columns if c != "text"]
+    given = docs.select("doc_id", "text", F.struct(*rest).alias("rest"))
+    rows = written(given.mapInArrow(_local(own), T.StructType(given.schema.fields + own.fields)), "dedup-rows")
+    roots = _settled(rows.where("lead").select("gid", "h", "text"))
+    local = rows.groupBy("gid").agg(F.max(F.struct("doc_id", "rid")).alias("last"), F.count("*").alias("n"))
+    groups = local.join(roots, "gid").groupBy("root").agg(F.max("last").alias("last"), F.sum("n").alias("group_size"))
+    each = roots.join(groups, "root").select("gid", F.col("last.doc_id").alias("keep_id"), F.col("last.rid").alias("keep"), "group_size")
+    out = rows.join(each, "gid")
+    row = F.struct(*[(F.col("text") if c == "text" else F.col("rest")[c]).alias(c) for c in docs.columns])
+    return out.select(row.alias("row"), "keep_id", "group_size", (F.col("rid") == F.col("keep")).alias("kept"), "text_sha256")
 
 
 def judged(docs: DataFrame) -> DataFrame:
     """docs with keep_id, group_size, kept and text_sha256; these replace columns that have their names."""
-    return fates(docs.drop(*ADDED.values())).withColumnsRenamed(ADDED)
+    return fates(docs.drop(*ADDED)).select("row.*", *ADDED)
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The rows that stay, with the columns of docs."""
-    return fates(docs).where("__kept").select(*docs.columns)
+    return fates(docs).where("kept").select("row.*")
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

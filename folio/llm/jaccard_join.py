@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm.common import batches_of, small_batches, table, texts, written
+from folio.llm.common import batches_of, small_batches, table, texts, unused, written
 
 BUCKETS = 1 << 17
 GROUPS = 128
@@ -362,10 +362,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
 
 def _classes(n: int):
-    """Rows of both kinds: (0, doc_id, size, sid, small) for a text, (1, bucket, count, null, null) for the shingles of the task."""
+    """Rows of both kinds: (0, doc_id, size, sid, small, h) for a text, (1, bucket, count and nulls) for the shingles of the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make = batches_of({"kind": pa.int8(), "a": pa.int64(), "b": pa.int64(), "sid": pa.int64(), "small": pa.binary()})
+        make = batches_of({"kind": pa.int8(), "a": pa.int64(), "b": pa.int64(), "sid": pa.int64(), "small": pa.binary(), "h": pa.int64()})
         total = np.zeros(BUCKETS, np.int64)
         for batch, all_ in texts(batches, "text"):
             sizes, sids, small = [], [], []
@@ -375,9 +375,9 @@ def _classes(n: int):
                 np.add.at(total, (h & np.uint64(BUCKETS - 1)).astype(np.int64), 1)
                 sizes.append(len(h))
                 sids.append(set_id(h) if len(h) else None)
-            yield make(np.zeros(len(sizes), np.int8), batch.column("doc_id"), sizes, sids, small)
+            yield make(np.zeros(len(sizes), np.int8), batch.column("doc_id"), sizes, sids, small, batch.column("h"))
         there = np.flatnonzero(total)
-        yield make(np.ones(len(there), np.int8), there, total[there], pa.nulls(len(there), pa.int64()), pa.nulls(len(there), pa.binary()))
+        yield make(np.ones(len(there), np.int8), there, total[there], pa.nulls(len(there), pa.int64()), pa.nulls(len(there), pa.binary()), pa.nulls(len(there), pa.int64()))
 
     return run
 
@@ -425,20 +425,21 @@ def components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> Da
     """doc_id, n_shingles, component_id (least doc_id of the component) of each row of docs (doc_id, text)."""
     spark = docs.sparkSession
     small_batches(spark)
-    docs = docs.selectExpr("CAST(doc_id AS long) doc_id", "text")
-    both = written(docs.mapInArrow(_classes(n), "kind byte, a long, b long, sid long, small binary"), "jaccard-classes")
-    rows = both.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"), "sid")
+    docs = docs.selectExpr("CAST(doc_id AS long) doc_id", "text", "xxhash64(text) h")
+    both = written(docs.mapInArrow(_classes(n), "kind byte, a long, b long, sid long, small binary, h long"), "jaccard-classes")
+    rows = both.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"), "sid", "h")
     counters = np.zeros(BUCKETS, np.int64)
     for r in both.where("kind = 1").groupBy("a").agg(F.sum("b").alias("n")).collect():  # BUCKETS rows at most
         counters[r.a] = r.n
-    classes = rows.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("first_id"), F.greatest(F.lit(1.0), F.max("n_shingles") / HEAVY).alias("weight"))
+    classes = rows.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("first_id"), F.min_by("h", F.struct(F.col("doc_id").isNull(), "doc_id", "h")).alias("first_h"), F.greatest(F.lit(1.0), F.max("n_shingles") / HEAVY).alias("weight"))
 
     shared = spark.sparkContext.broadcast(counters)  # BUCKETS numbers
     prefixes = written(docs.mapInArrow(_prefixes(n, num, den, shared), "token long, sid long"), "jaccard-prefixes")
     clusters = connected_components(candidate_edges(prefixes, both, num, den)).select(F.col("v").alias("sid"), F.col("component").alias("cluster"))
 
     members = _paged(clusters.join(classes, "sid"))
-    found = docs.join(members, docs.doc_id.eqNullSafe(members.first_id))
+    # The row of the class's first doc_id; rows without a doc_id, or with one that comes again, are told apart by their text.
+    found = docs.join(members, docs.doc_id.eqNullSafe(members.first_id) & (docs.h == members.first_h)).dropDuplicates(["sid"])
     asked = F.lit(True).alias("asks")
     # The texts of clustered classes, once; later steps read them here.
     members = written(found.select("cluster", "page", "pages", "weight", "sid", "text"), "jaccard-members")
@@ -447,7 +448,7 @@ def components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> Da
     paged = members.where("pages > 1")
     if paged.limit(1).count():
         label = _across_pages(paged, label, n, num, den)
-    named = classes.drop("weight").join(label.withColumnRenamed("v", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+    named = classes.drop("weight", "first_h").join(label.withColumnRenamed("v", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     named = written(named, "jaccard-named")
     least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
     names = named.join(least, "component").select("sid", "component_id")
@@ -520,8 +521,9 @@ def _composed(known: DataFrame, start: DataFrame, current: DataFrame) -> DataFra
 
 def representatives(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """One row of docs for each component, that of the least doc_id, with all columns; rows of one doc_id stay or go together."""
+    name = unused(docs, "kept")
     kept = components(docs.select("doc_id", "text"), n, num, den).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(kept.withColumnRenamed("doc_id", "__kept"), docs.doc_id.eqNullSafe(F.col("__kept")), "left_semi").select(*docs.columns)
+    return docs.join(kept.withColumnRenamed("doc_id", name), docs.doc_id.eqNullSafe(F.col(name)), "left_semi").select(*docs.columns)
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ Texts are lower-cased; their 1- to 3-grams of code points are hashed into FEATUR
 document frequencies are counted over every row that may be learned from. The weights are fitted by
 follow-the-regularised-leader (per-coordinate rates, elastic net: L1 keeps them sparse, L2 small) on at
 most SAMPLE_ROWS labelled rows of at most SAMPLE_CHARS characters together, taken in the order of a hash
-of the row; a fifth of the sample is left out and sets the temperature of the probabilities.
+of the row, at least LEAST_ROWS of each language; a fifth of the sample is left out and sets the temperature of the probabilities.
 
 Defined cases: a null text, or one without a letter, is `und` with score 0; so is every text if nothing
 can be learned from. With one known language, every other text is of that language with score 1. Rows
@@ -13,11 +13,11 @@ with a null label are not learned from. Repeated rows each get their row; other
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,8 +26,10 @@ from folio.llm.common import batches_of, fold, labelled_sample, small_batches, t
 FEATURES = 1 << 14
 LENGTHS = (1, 2, 3)
 SAMPLE_ROWS, SAMPLE_CHARS = 3000, 6_000_000
+#: Rows of each language that are in the sample at least, if there are so many.
+LEAST_ROWS = 40
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 #: Code points of a text that are counted at a time.
 BLOCK = 1 << 20
 
@@ -116,7 +118,7 @@ def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
 def fit(docs: DataFrame, epochs: int = 3) -> dict:
     """The model from docs (doc_id, text, lang), all of which may be learned from."""
     small_batches(docs.sparkSession)
-    rows = labelled_sample(docs, "lang", SAMPLE_ROWS, SAMPLE_CHARS)
+    rows = labelled_sample(docs, "lang", SAMPLE_ROWS, SAMPLE_CHARS, LEAST_ROWS)
     classes = sorted({y for _, y in rows})
     if not classes:
         return {"classes": []}

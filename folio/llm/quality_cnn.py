@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folio.llm.common import fold, labelled_sample, small_batches, table, texts
+from folio.llm.common import fold, labelled_sample, small_batches, table, texts, unused
 
 FILTERS, WIDTH, HALF = 12, 6, 32
 SAMPLE_ROWS, SAMPLE_CHARS = 2000, 4_000_000
@@ -154,8 +154,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Network:
     return Network().fit([(t.encode(), int(y)) for t, y in rows])
 
 
-def scored(docs: DataFrame, network: Network) -> DataFrame:
-    """docs with __score. The network is of fixed size; it is frozen in each Python worker."""
+def scored(docs: DataFrame, network: Network, name: str = "score") -> DataFrame:
+    """docs with a column of this name, which docs must not have. The network is of fixed size; it is frozen in each Python worker."""
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(network)
@@ -166,18 +166,19 @@ def scored(docs: DataFrame, network: Network) -> DataFrame:
             own.freeze()
         for batch, all_ in texts(batches, "text"):
             values = pa.array([own.score(t.encode()) for t in all_], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, values], names=[*batch.schema.names, "__score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, values], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__score", T.DoubleType())]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def accepted(docs: DataFrame, labels: DataFrame, least: float = ACCEPT) -> DataFrame:
     """The rows of docs that score least or more, with the columns of docs; the network learns from all labels."""
-    return scored(docs, fit(docs, labels)).where(F.col("__score") >= least).select(*docs.columns)
+    name = unused(docs, "score")
+    return scored(docs, fit(docs, labels), name).where(F.col(name) >= least).select(*docs.columns)
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     network = fit(docs.where(fold(5) != 0), table(spark, sf_dir, "labels"))
     out = scored(docs, network)
-    return out.select("doc_id", (fold(5) == 0).alias("held_out"), F.col("__score").alias("score"), (F.col("__score") >= ACCEPT).cast("int").alias("predicted"))
+    return out.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= ACCEPT).cast("int").alias("predicted"))

@@ -58,6 +58,22 @@ def test_dedup_cases(spark):
     assert exact_dedup.judged(documents(spark, [])).count() == 0
 
 
+def test_dedup_of_a_hot_text_and_clashing_names(spark, monkeypatch):
+    """A text with more leaders than one task takes is settled in groups first; no name of a column is special."""
+    monkeypatch.setattr(exact_dedup, "MANY", 3)
+    monkeypatch.setattr(exact_dedup, "SALTS", 2)
+    rows = [(k, "Hot" if k % 3 else f"text {k % 40}") for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(16)
+    docs = docs.withColumns({c: F.col("doc_id") + 1 for c in ("rid", "gid", "h", "lead", "rest", "row", "__rid", "__kept", "n", "hot", "salt", "kept")})
+    stay = {}
+    for k, t in rows:
+        stay[t.lower()] = max(k, stay.get(t.lower(), -1))
+    kept = exact_dedup.deduplicate(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(stay.values())
+    sizes = {(r.keep_id, r.group_size) for r in exact_dedup.judged(docs).collect()}
+    assert sizes == {(k, sum(t.lower() == u.lower() for _, u in rows)) for t, k in stay.items()}
+
+
 def test_grace_spills_and_compares_content(tmp_path, monkeypatch):
     monkeypatch.setenv("TMPDIR", str(tmp_path))
     monkeypatch.setattr(exact_dedup.tempfile, "tempdir", str(tmp_path))
@@ -133,6 +149,22 @@ def test_components_of_nothing(spark):
     assert jaccard_join.components(documents(spark, [(1, None)]), 3, 90, 100).first().component_id == 1
 
 
+def test_components_of_rows_without_ids(spark):
+    """Many rows with a null or the same doc_id meet by their texts; long sets, over all pages, against all pairs."""
+    r = random.Random(6)
+    base = [f"w{r.randrange(10**6)}" for _ in range(5200)]
+    rows = [(None, f"some words that go around {k % 7}") for k in range(40)] + [(5, f"a text of one id {k % 9} and more") for k in range(40)]
+    for k in range(6):
+        for n in (650, 5200):
+            copy = base[:n]
+            for _ in range(n // r.choice([20, 200, 2000])):
+                copy[r.randrange(n)] = f"v{r.randrange(10**6)}"
+            rows.append((100 + len(rows), " ".join(copy)))
+    found = jaccard_join.components(documents(spark, rows), 3, 90, 100).collect()
+    key = lambda x: tuple((v is None, v) for v in x)
+    assert sorted(map(tuple, found), key=key) == sorted(naive_components(rows, 3, 90, 100), key=key)
+
+
 def test_representatives(spark):
     text = " ".join(f"w{k}" for k in range(100))
     rows = [(5, text), (3, text + " more"), (9, "other"), (None, text), (12, None), (None, "quite alone here")]

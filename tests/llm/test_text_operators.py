@@ -187,7 +187,7 @@ def test_quality_sees_the_whole_text(monkeypatch):
 def test_quality_cases(spark):
     n, _ = small_network()
     rows = [(1, None), (2, ""), (3, "abc!! abc!!"), (3, "abc!! abc!!"), (None, "abc abd"), (5, "é" * 200_000)]
-    found = quality_cnn.scored(documents(spark, rows), n).collect()
+    found = quality_cnn.scored(documents(spark, rows), n, "__score").collect()
     assert [r.doc_id for r in found] == [i for i, _ in rows] and all(0 <= r["__score"] <= 1 for r in found)
     assert found[0]["__score"] == found[1]["__score"] and found[2]["__score"] == found[3]["__score"]
     labels = spark.createDataFrame([(3, None), (9, 0)], "doc_id long, quality int")
