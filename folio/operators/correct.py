@@ -51,9 +51,14 @@ def matches(tokens: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def top_matches(tokens: DataFrame, names: DataFrame, k: int = 5) -> DataFrame:
-    """matches with rank 1 to k: highest score, then the corpus's own order."""
+    """The k best names of each token with rank 1 to k: highest score, then the corpus's own order; scores may be 0."""
     order = Window.partitionBy("token").orderBy(F.desc("score"), "idx")
-    return matches(tokens, names).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    found = matches(tokens, names)
+    # What scores 0 comes in the corpus's order, so of such names only the first k + k can be among the best, as at most k score more.
+    first = names.where(F.col("idx") < 2 * k).select("name", "weight", "idx")
+    rest = tokens.where("length(token) > 0").crossJoin(F.broadcast(first)).withColumn("score", similarity(F.col("token"), F.col("name"))).where("score = 0")
+    both = found.unionByName(rest.select("token", "name", "weight", "idx", "score"))
+    return both.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def best_names(tokens: DataFrame, names: DataFrame, rising: bool, min_score: float = 0.0) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folio.functions.text import normalize_space
+from folio.functions.text import normalize_space, utc_stamp
 
 #: The text array of each layout and the arrays that run beside it.
 FAMILIES = {"rec_texts": ("rec_scores", "rec_polys", "rec_boxes"), "texts": ("scores", "polys", "boxes")}
@@ -54,10 +54,11 @@ def finished(pages: DataFrame, books: DataFrame) -> DataFrame:
 
 
 def blocks(pages: DataFrame) -> DataFrame:
-    """book, page, pos, y, label, content of parsed pages.
+    """book, page, pos, y, label, content, bbox of parsed pages.
 
     The layout blocks count if there are any, else the items, whose label is text. A content that is no
-    string is empty, a height that is no number is -1, what is no object is left out.
+    string is empty, a height that is no number is -1, a box that is no array of numbers is null, what is no object is
+    left out.
     """
     array = lambda name: F.expr(f"try_variant_get(v, '$.{name}', 'array<variant>')")
     layout, items = array("parsing_res_list"), array("items")
@@ -70,6 +71,7 @@ def blocks(pages: DataFrame) -> DataFrame:
         "coalesce(CASE WHEN layout THEN try_variant_get(b, '$.block_bbox[1]', 'double') ELSE try_variant_get(b, '$.bbox[1]', 'double') END, -1D) y",
         "CASE WHEN layout THEN coalesce(try_variant_get(b, '$.block_label', 'string'), 'None') ELSE 'text' END label",
         f"CASE WHEN layout THEN {string('block_content')} ELSE {string('text')} END content",
+        "CASE WHEN layout THEN try_variant_get(b, '$.block_bbox', 'array<double>') ELSE try_variant_get(b, '$.bbox', 'array<double>') END bbox",
     )
 
 
@@ -78,23 +80,32 @@ def label_counts(found: DataFrame) -> DataFrame:
     return found.groupBy("book", F.coalesce("label", F.lit("None")).alias("label")).agg(F.count("*").alias("n"))
 
 
-def meta(pages: DataFrame, found: DataFrame) -> DataFrame:
-    """book, total_pages and counts_by_block_label (a map)."""
+def meta(pages: DataFrame, found: DataFrame, settings: dict[str, object] | None = None, at: Column | None = None) -> DataFrame:
+    """book, file_name, total_pages, counts_by_block_label (a map), pipeline_settings (a map) and generated_utc (of at, or of now)."""
     counts = label_counts(found).groupBy("book").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "n")))).alias("counts_by_block_label"))
     totals = pages.groupBy("book").agg(F.count("*").alias("total_pages"))
     none = F.expr("map_from_arrays(CAST(array() AS array<string>), CAST(array() AS array<bigint>))")
-    return totals.join(counts, "book", "left").withColumn("counts_by_block_label", F.coalesce("counts_by_block_label", none))
+    held = totals.join(counts, "book", "left").withColumn("counts_by_block_label", F.coalesce("counts_by_block_label", none))
+    given = [x for k, v in (settings or {}).items() for x in (F.lit(k), F.lit(str(v)))]
+    added = F.create_map(*given) if given else F.expr("map_from_arrays(CAST(array() AS array<string>), CAST(array() AS array<string>))")
+    stamp = utc_stamp(F.current_timestamp() if at is None else at)
+    return held.select("book", F.concat("book", F.lit(".pdf")).alias("file_name"), "total_pages", "counts_by_block_label", added.alias("pipeline_settings"), stamp.alias("generated_utc"))
+
+
+def sections_count(found: DataFrame) -> DataFrame:
+    """book and sections_count, the number of its sections."""
+    return found.groupBy("book").agg(F.count("*").alias("sections_count"))
 
 
 def headers_index(found: DataFrame) -> DataFrame:
-    """Blocks labelled exactly header, in document order: book, page, pos, content."""
-    return found.where("label = 'header'").select("book", "page", "pos", F.coalesce("content", F.lit("")).alias("content"))
+    """Blocks labelled exactly header, in document order: book, page, pos, content, and bbox if the blocks have it."""
+    return found.where("label = 'header'").select("book", "page", "pos", F.coalesce("content", F.lit("")).alias("content"), *["bbox"] * ("bbox" in found.columns))
 
 
 def texts_clean(pages: DataFrame) -> DataFrame:
     """book and n: texts of all pages; rec_texts counts where the key is there, whatever it holds."""
     n = F.expr(
-        "CASE WHEN array_contains(json_object_keys(to_json(v)), 'rec_texts') THEN coalesce(size(try_variant_get(v, '$.rec_texts', 'array<variant>')), 0) "
+        "CASE WHEN variant_get(v, '$.rec_texts') IS NOT NULL THEN coalesce(size(try_variant_get(v, '$.rec_texts', 'array<variant>')), 0) "
         "ELSE coalesce(size(try_variant_get(v, '$.texts', 'array<variant>')), 0) END"
     )
     return pages.groupBy("book").agg(F.sum(F.greatest(n, F.lit(0))).cast("long").alias("n"))

@@ -58,8 +58,11 @@ def assigned(blocks: DataFrame, strict_zero_bounds: bool = False) -> DataFrame:
     return out.unionByName(again).distinct()
 
 
-def sections(blocks: DataFrame, strict_zero_bounds: bool = False) -> DataFrame:
-    """book, marker, header, start_page, end_page, pages, texts; books without a marker have one section of all texts."""
+def sections(blocks: DataFrame, strict_zero_bounds: bool = False, book_pages: DataFrame | None = None) -> DataFrame:
+    """book, marker, header, start_page, end_page, pages, texts; books without a marker have one section of all texts.
+
+    book_pages: book and page of every page, also of those without a block; without it the pages of the blocks count.
+    """
     rows = assigned(blocks, strict_zero_bounds)
     texts = F.transform(F.sort_array(F.collect_list(F.struct("page", "y", "pos", "text"))), lambda r: r["text"])
     held = rows.groupBy("book", "marker").agg(texts.alias("texts"), F.array_sort(F.collect_set("page")).alias("pages"))
@@ -67,14 +70,15 @@ def sections(blocks: DataFrame, strict_zero_bounds: bool = False) -> DataFrame:
     found = heads.join(held, ["book", "marker"], "left")
     pages = F.coalesce("pages", F.array("own"))
     found = found.select("book", "marker", "header", pages.alias("pages"), F.coalesce("texts", F.array().cast("array<string>")).alias("texts"))
-    both = found.unionByName(without_headers(blocks))
+    both = found.unionByName(without_headers(blocks, book_pages))
     return both.select("book", "marker", "header", F.array_min("pages").alias("start_page"), F.array_max("pages").alias("end_page"), "pages", "texts")
 
 
-def without_headers(blocks: DataFrame) -> DataFrame:
+def without_headers(blocks: DataFrame, book_pages: DataFrame | None = None) -> DataFrame:
     """book, marker 0, header, pages (all of the book, blank ones too), texts of books that have text but no marker."""
     rows = text_rows(blocks).join(markers(blocks).select("book").distinct(), "book", "left_anti")
     texts = F.transform(F.sort_array(F.collect_list(F.struct("page", "y", "pos", "text"))), lambda r: r["text"])
-    pages = blocks.groupBy("book").agg(F.array_sort(F.collect_set("page")).alias("pages"))
+    every = blocks if book_pages is None else book_pages.select("book", F.col("page").cast("int").alias("page")).unionByName(blocks.select("book", "page"))
+    pages = every.groupBy("book").agg(F.array_sort(F.collect_set("page")).alias("pages"))
     held = rows.groupBy("book").agg(texts.alias("texts")).join(pages, "book")
     return held.select("book", F.lit(0).alias("marker"), F.lit(NO_HEADERS).alias("header"), "pages", "texts")

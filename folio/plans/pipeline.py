@@ -11,6 +11,8 @@ from folio.operators import ocr
 from folio.operators.correct import NameCorrector, NoOpCorrector
 from folio.operators.names import Recognizer, names_of_sections
 from folio.operators.sections import assigned, sections, without_headers
+from folio.sources.ingest import json_pages
+from folio.sources.sinks import to_tables
 
 
 @dataclass
@@ -23,11 +25,12 @@ class Config:
     min_tokens: int = 0
     recognizer: Recognizer | None = None
     corrector: NoOpCorrector | NameCorrector | None = None
+    settings: dict[str, object] | None = None
 
 
-def sections_with_names(blocks: DataFrame, config: Config = Config()) -> DataFrame:
+def sections_with_names(blocks: DataFrame, config: Config = Config(), book_pages: DataFrame | None = None) -> DataFrame:
     """book, marker, header, start_page, end_page, pages, names."""
-    found = sections(blocks, config.strict_zero_bounds)
+    found = sections(blocks, config.strict_zero_bounds, book_pages)
     rows = assigned(blocks, config.strict_zero_bounds).select("book", "marker", "text")
     alone = without_headers(blocks).select("book", "marker", F.explode("texts").alias("text"))
     names = names_of_sections(rows.unionByName(alone), found, config.recognizer)
@@ -48,8 +51,24 @@ def corrected(names: DataFrame, config: Config) -> DataFrame:
 
 
 def from_json(spark: SparkSession, pages: DataFrame, config: Config = Config()) -> dict[str, DataFrame]:
-    """The outputs for pages (book, page, value): blocks, meta, headers_index, sections_with_text and sections_with_names."""
+    """The outputs for pages (book, page, value): blocks, meta, headers_index, sections_with_text, sections_count and sections_with_names."""
     read = ocr.parsed(pages)
     found = ocr.blocks(read)
-    out = {"blocks": found, "meta": ocr.meta(read, found), "headers_index": ocr.headers_index(found), "sections_with_text": sections(found, config.strict_zero_bounds)}
-    return out | ({"sections_with_names": sections_with_names(found, config)} if config.extract_names else {})
+    every = read.select("book", "page")
+    held = sections(found, config.strict_zero_bounds, every)
+    out = {"blocks": found, "meta": ocr.meta(read, found, config.settings), "headers_index": ocr.headers_index(found), "sections_with_text": held, "sections_count": ocr.sections_count(held)}
+    return out | ({"sections_with_names": sections_with_names(found, config, every)} if config.extract_names else {})
+
+
+def write_outputs(outputs: dict[str, DataFrame], folder: str) -> None:
+    """A table by book for each output; books that are not in an output keep what they have there."""
+    for name, df in outputs.items():
+        to_tables(df, f"{folder.rstrip('/')}/{name}")
+
+
+def run(spark: SparkSession, path: str, folder: str, config: Config = Config()) -> dict[str, DataFrame]:
+    """Reads the page files under path and writes the outputs to folder; a path that holds nothing gives empty outputs and writes nothing."""
+    outputs = from_json(spark, json_pages(spark, path), config)
+    if outputs["blocks"].limit(1).count():
+        write_outputs(outputs, folder)
+    return outputs

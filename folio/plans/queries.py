@@ -137,35 +137,34 @@ def split_joined_caps(spark, sf_dir):
     return _pairs(spark, sf_dir).select("word", fn.split_joined_capitals(F.col("word")).alias("split"))
 
 
-def _ascii_words(spark, sf_dir) -> DataFrame:
-    return adapters.words(_table(spark, sf_dir, "documents")).select("word").where(F.col("word").rlike(r"^[\x21-\x7e]+$")).distinct()
+def _distinct_words(spark, sf_dir) -> DataFrame:
+    return adapters.words(_table(spark, sf_dir, "documents")).select("word").distinct()
 
 
-_ASCII = f"WITH {_WORDS}, w AS (SELECT DISTINCT word FROM words WHERE regexp_full_match(word, '[\\x21-\\x7e]+'))"
+_DISTINCT = f"WITH {_WORDS}, w AS (SELECT DISTINCT word FROM words)"
 
 
-@query(f"""{_ASCII} SELECT word, f.o AS title FROM (SELECT word, list_reduce([{{'o': upper(x), 'p': upper(x) <> lower(x), 'c': x}} FOR x IN string_split(word, '')],
-        lambda a, x: {{'o': a.o || CASE WHEN a.p THEN lower(x.c) ELSE upper(x.c) END, 'p': x.p, 'c': x.c}}) AS f FROM w)""")
+@query(f"""{_DISTINCT} SELECT word, f.o AS title FROM (SELECT word, list_reduce([{{'o': CASE WHEN x = 'ß' THEN 'Ss' ELSE upper(x) END, 'p': upper(x) <> lower(x), 'c': x}} FOR x IN string_split(word, '')],
+        lambda a, x: {{'o': a.o || CASE WHEN a.p THEN lower(x.c) WHEN x.c = 'ß' THEN 'Ss' ELSE upper(x.c) END, 'p': x.p, 'c': x.c}}) AS f FROM w)""")
 def python_title(spark, sf_dir):
-    return _ascii_words(spark, sf_dir).select("word", fn.title(F.col("word")).alias("title"))
+    return _distinct_words(spark, sf_dir).select("word", fn.title(F.col("word")).alias("title"))
 
 
-@query(f"{_ASCII} SELECT word, upper(word) = word AND lower(word) <> word AS is_upper FROM w")
+@query(f"{_DISTINCT} SELECT word, upper(word) = word AND lower(word) <> word AS is_upper FROM w")
 def isupper_flag(spark, sf_dir):
-    return _ascii_words(spark, sf_dir).select("word", fn.is_upper(F.col("word")).alias("is_upper"))
+    return _distinct_words(spark, sf_dir).select("word", fn.is_upper(F.col("word")).alias("is_upper"))
 
 
 _TITLE_CHUNK = """list_reduce([{'o': upper(x), 'p': upper(x) <> lower(x), 'c': x} FOR x IN string_split(s, '')],
         lambda a, x: {'o': a.o || CASE WHEN a.p THEN lower(x.c) ELSE upper(x.c) END, 'p': x.p, 'c': x.c}).o"""
 
 
-@query(f"""WITH {_CHUNKS}, s AS (SELECT DISTINCT chunk, trim(chunk, '.,;:()[]{{}}') AS s FROM chunks WHERE regexp_full_match(chunk, '[\\x20-\\x7e]+')),
+@query(f"""WITH {_CHUNKS}, s AS (SELECT DISTINCT chunk, trim(chunk, '.,;:()[]{{}}') AS s FROM chunks ),
     t AS (SELECT chunk, {_norm("CASE WHEN s <> '' AND upper(s) = s AND lower(s) <> s THEN " + _TITLE_CHUNK + " ELSE s END")} AS t FROM s)
     SELECT chunk, CASE WHEN t <> '' AND len([x FOR x IN string_split(t, ' ') IF length(x) < 2 OR regexp_matches(x, '[0-9]')]) = 0 THEN t END AS name FROM t""")
 def name_post_filter(spark, sf_dir):
-    """ASCII chunks, since engines differ in the case of other letters."""
     found = names.candidates(_table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
-    found = found.select("chunk").where(F.col("chunk").rlike(r"^[\x20-\x7e]+$")).distinct()
+    found = found.select("chunk").distinct()
     return found.select("chunk", fn.clean_name(F.col("chunk")).alias("name"))
 
 
@@ -208,6 +207,32 @@ def no_header_fallback(spark, sf_dir):
     return sections.without_headers(_blocks(spark, sf_dir)).select("book", "header", _joined("pages").alias("pages"), F.array_join("texts", "|").alias("texts"))
 
 
+@query(f"{_SECTIONS} SELECT book, count(*) AS sections_count FROM sections GROUP BY book")
+def sections_count(spark, sf_dir):
+    return ocr.sections_count(sections.sections(_blocks(spark, sf_dir)))
+
+
+def _json_pages(spark, sf_dir) -> DataFrame:
+    """book, page, value: the blocks as the JSON text of a page each."""
+    blocks = _blocks(spark, sf_dir).groupBy("book", "page").agg(F.sort_array(F.collect_list(F.struct("pos", "label", "content", "y"))).alias("all"))
+    one = lambda b: F.struct(b["label"].alias("block_label"), b["content"].alias("block_content"), F.array(F.lit(0.0), b["y"], F.lit(1.0), b["y"] + 1).alias("block_bbox"))
+    return blocks.select("book", "page", F.to_json(F.struct(F.transform("all", one).alias("parsing_res_list"))).alias("value"))
+
+
+@query(f"WITH {_BLOCKS} SELECT book, page, CAST(pos % 20 AS INTEGER) AS pos, y, label, content, y + 1 AS bottom FROM blocks")
+def ocr_blocks(spark, sf_dir):
+    found = ocr.blocks(ocr.parsed(_json_pages(spark, sf_dir)))
+    return found.select("book", "page", "pos", "y", "label", "content", F.get("bbox", F.lit(3)).alias("bottom"))
+
+
+@query(f"""WITH {_BLOCKS}, n AS (SELECT book, label, count(*) AS n FROM blocks GROUP BY 1, 2)
+    SELECT book, book || '.pdf' AS file_name, (SELECT count(DISTINCT page) FROM blocks b WHERE b.book = n.book) AS total_pages, string_agg(label || ':' || n, '|' ORDER BY label) AS counts FROM n GROUP BY book""")
+def meta_bundle(spark, sf_dir):
+    pages = ocr.parsed(_json_pages(spark, sf_dir))
+    counts = F.array_sort(F.transform(F.map_entries("counts_by_block_label"), lambda e: F.concat_ws(":", e["key"], e["value"].cast("string"))))
+    return ocr.meta(pages, ocr.blocks(pages)).select("book", "file_name", "total_pages", F.array_join(counts, "|").alias("counts"))
+
+
 def _section_names(spark, sf_dir) -> DataFrame:
     blocks = _blocks(spark, sf_dir)
     return names.names_of_sections(sections.assigned(blocks), sections.markers(blocks))
@@ -302,7 +327,7 @@ def similarity_matrix(spark, sf_dir):
     return correct.matches(_tokens(spark, sf_dir), _first(spark, sf_dir)).select("token", "name", F.round("score", 6).alias("score"))
 
 
-@query(f"{_TOKENS} SELECT token, CAST(rank AS INTEGER) AS rank, name, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY token ORDER BY score DESC, idx) AS rank FROM scored WHERE score > 0) WHERE rank <= 5")
+@query(f"{_TOKENS} SELECT token, CAST(rank AS INTEGER) AS rank, name, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY token ORDER BY score DESC, idx) AS rank FROM scored) WHERE rank <= 5")
 def fuzzy_topk(spark, sf_dir):
     return correct.top_matches(_tokens(spark, sf_dir), _first(spark, sf_dir)).select("token", "rank", "name", F.round("score", 6).alias("score"))
 
@@ -329,9 +354,9 @@ def correct_full_name(spark, sf_dir):
     return correct.NameCorrector(_first(spark, sf_dir), _last(spark, sf_dir)).correct(each)
 
 
-@query(f"SELECT DISTINCT name, {_norm('name')} AS corrected FROM (SELECT string_split(text, chr(10))[1] AS name FROM documents WHERE text IS NOT NULL)")
+@query(f"SELECT DISTINCT name, {_norm('name')} AS corrected FROM (SELECT unnest(string_split(text, chr(10))) AS name FROM documents WHERE text IS NOT NULL)")
 def noop_corrector(spark, sf_dir):
-    lines = _table(spark, sf_dir, "documents").where("text IS NOT NULL").select(F.get(F.split("text", "\n"), F.lit(0)).alias("name")).distinct()
+    lines = _table(spark, sf_dir, "documents").where("text IS NOT NULL").select(F.explode(F.split("text", "\n")).alias("name")).distinct()
     return correct.NoOpCorrector().correct(lines)
 
 

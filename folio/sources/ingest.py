@@ -28,19 +28,27 @@ def pdf_files(spark: SparkSession, pdf: str | None = None, pdf_dir: str | None =
 
 
 def json_pages(spark: SparkSession, path: str) -> DataFrame:
-    """book, page, value of <path>/<book>/pageNNNN.json; the page is the number in the file's name."""
+    """book, page, value of <path>/<book>/pageNNNN.json; the page is the number in the file's name. No such file: empty."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place):
+        return spark.createDataFrame([], "book string, page int, value string")
     files = spark.read.text(path, wholetext=True).select("value", F.input_file_name().alias("p"))
     found = files.select(F.regexp_extract("p", r"([^/]+)/[^/]*$", 1).alias("book"), F.regexp_extract("p", r"page(\d+)\.json$", 1).alias("n"), "value")
     return found.where("n <> ''").select("book", F.col("n").cast("int").alias("page"), "value")
 
 
+#: How each kind of image is saved, and the mode it is turned to first (None: its own).
+SAVED = {
+    "jpg": {"format": "JPEG", "mode": "RGB", "options": {"optimize": True, "progressive": False}, "lossy": True},
+    "png": {"format": "PNG", "mode": None, "options": {"optimize": True}, "lossy": False},
+}
+
+
 def encode_image(image, kind: str, quality: int) -> bytes:
-    """jpg: RGB, optimised, not progressive; everything else: PNG."""
-    out = io.BytesIO()
-    if kind.lower() == "jpg":
-        image.convert("RGB").save(out, "JPEG", quality=quality, optimize=True, progressive=False)
-    else:
-        image.save(out, "PNG")
+    """The image in a format of SAVED; any kind that is not there is PNG."""
+    how, out = SAVED.get(kind.lower(), SAVED["png"]), io.BytesIO()
+    ready = image.convert(how["mode"]) if how["mode"] else image
+    ready.save(out, how["format"], **how["options"], **({"quality": quality} if how["lossy"] else {}))
     return out.getvalue()
 
 

@@ -57,6 +57,12 @@ def test_joined_capitals_at_random(spark):
     assert column(spark, values, fn.split_joined_capitals) == [naive_split(v) for v in values]
 
 
+def test_title_beyond_ascii(spark):
+    words = ["ßach", "straße", "élan", "ÉTÉ", "o'neill", "señor-ÑU", "àb1cd", "ﬁn", "ŉa", "", "12a", "ΣΑΣ"]
+    found = spark.createDataFrame([(w,) for w in words], "w string").select("w", fn.title(F.col("w")).alias("t")).collect()
+    assert {r.w: r.t for r in found if r.w not in ("ŉa", "ΣΑΣ")} == {w: w.title() for w in words if w not in ("ŉa", "ΣΑΣ")}
+
+
 def test_title_and_upper(spark):
     values = ["O'NEIL", "it's", "3rd", "keller'si iga", "ABC", "aBC", "É", "", "12"]
     assert column(spark, values, fn.title) == [v.title() for v in values]

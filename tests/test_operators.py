@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from folio.operators import ocr, sections
 from folio.operators.names import CapitalizedRuns, names_in
+from folio.plans import pipeline
 from folio.plans.pipeline import Config, from_json, sections_with_names
 from folio.sources import ingest, sinks
 
@@ -36,6 +37,23 @@ def test_no_headers(spark):
     assert [(r.book, r.header, r.pages, r.texts) for r in found] == [("b", "(no headers found)", [1, 2], ["x"])]
 
 
+def test_pages_without_blocks_and_boxes(spark, tmp_path):
+    pages = [("b", 1, '{"parsing_res_list": [{"block_label": "text", "block_content": "t", "block_bbox": [1, 2.5, 3, 4]}]}'), ("b", 2, "{}"), ("b", 3, "no json")]
+    pages += [("c", 1, '{"items": [{"text": "x", "bbox": [1, 2]}], "texts": ["a", ""]}'), ("c", 2, '{"parsing_res_list": [{"block_label": "header", "block_content": "H", "block_bbox": "none"}], "rec_texts": []}')]
+    out = pipeline.from_json(spark, spark.createDataFrame(pages, "book string, page int, value string"), pipeline.Config(settings={"dpi": 300}))
+    held = {(r.book, r.header): (r.pages, r.start_page, r.end_page) for r in out["sections_with_text"].collect()}
+    assert held == {("b", sections.NO_HEADERS): ([1, 2, 3], 1, 3), ("c", "H"): ([2], 2, 2)}
+    assert sorted((r.book, r.bbox) for r in out["blocks"].collect() if r.bbox) == [("b", [1.0, 2.5, 3.0, 4.0]), ("c", [1.0, 2.0])]
+    assert [tuple(r) for r in out["headers_index"].collect()] == [("c", 2, 0, "H", None)]
+    assert {r.book: (r.file_name, r.total_pages, r.pipeline_settings) for r in out["meta"].collect()} == {"b": ("b.pdf", 3, {"dpi": "300"}), "c": ("c.pdf", 2, {"dpi": "300"})}
+    assert {r.book: r.sections_count for r in out["sections_count"].collect()} == {"b": 1, "c": 1}
+    assert {r.book: r.n for r in ocr.texts_clean(ocr.parsed(spark.createDataFrame(pages, "book string, page int, value string"))).collect()}["c"] == 2
+    pipeline.write_outputs(out, str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out" / "sections_with_names")).count() == 2
+    empty = pipeline.run(spark, str(tmp_path / "nothing" / "*"), str(tmp_path / "none"))
+    assert all(df.count() == 0 for df in empty.values()) and not (tmp_path / "none").exists()
+
+
 def test_zero_bound(spark):
     rows = block(spark, [("b", 1, 0, -1.0, "header", "A"), ("b", 1, 1, 0.0, "header", "B"), ("b", 1, 2, 4.0, "text", "t")])
     assert [r.marker for r in sections.assigned(rows).collect()] == [2]
