@@ -42,7 +42,7 @@ LIMIT = 1024
 END_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
 #: Bytes of pieces and ids that a Python worker remembers; then it forgets them all.
-REMEMBERED = 48 << 20
+REMEMBERED = 6 << 20
 #: Letters before punctuation or white space, punctuation after them, another run without white space (each
 #: with the space before it), or what is left of a run of white space. No token reaches over such a border.
 BETWEEN = re.compile(r" ?[A-Za-z]+(?=[\s,.;:!?])|[,.;:!?]+(?=\s|\Z)| ?\S+|\s+(?!\S)|\s+")
