@@ -11,8 +11,8 @@ offset. Ranks are counted in each input partition and shifted by the counts of t
 task sees all pieces.
 
 Ids are those of `tokenizers` for the whole text. Its split never joins what is before a white space and
-after it, or letters and the punctuation after them, so each piece between such borders is encoded by it once for each worker and remembered; texts with an
-added token, or with a character that only one of the two libraries takes for white space, are encoded whole.
+after it, or letters and the punctuation after them, so each piece between such borders is encoded by it once for each
+worker and remembered; texts with an added token, or with a character that only one of the two libraries takes for white space, are encoded whole.
 
 Defined cases: a null text is empty and is one end id; a null doc_id is kept; repeated rows are packed
 each; an empty table gives an empty result; other columns are ignored.
@@ -23,6 +23,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import string
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -42,10 +43,12 @@ LIMIT = 1024
 END_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
 #: Bytes of pieces and ids that a Python worker remembers; then it forgets them all.
-REMEMBERED = 6 << 20
-#: Letters before punctuation or white space, punctuation after them, another run without white space (each
-#: with the space before it), or what is left of a run of white space. No token reaches over such a border.
-BETWEEN = re.compile(r" ?[A-Za-z]+(?=[\s,.;:!?])|[,.;:!?]+(?=\s|\Z)| ?\S+|\s+(?!\S)|\s+")
+REMEMBERED = 16 << 20
+#: Letters of the first 256 code points, and signs that are neither letters, digits nor white space.
+LETTERS, SIGNS = "A-Za-zÀ-ÖØ-öø-ÿ", re.escape(string.punctuation)
+#: Letters before a sign or white space, signs before white space, another run without white space (letters and such
+#: runs with the space before them), or what is left of a run of white space. No token reaches over such a border.
+BETWEEN = re.compile(rf" ?[{LETTERS}]+(?=[\s{SIGNS}])|[{SIGNS}]+(?=\s|\Z)| ?\S+|\s+(?!\S)|\s+")
 
 #: What Python takes for white space and the tokenizer's expression does not.
 ODD = re.compile("[\x1c-\x1f]")
@@ -87,7 +90,7 @@ class Ids:
         parts = [None if self._is_whole(t) else BETWEEN.findall(t) for t in texts_]
         if self.size > REMEMBERED:
             self.known, self.size = {}, 0
-        self._learn(list(set().union(*filter(None, parts)) - self.known.keys()))
+        self._learn(list(set().union(*filter(None, parts)).difference(self.known)))
         whole = iter(self.tokenizer.encode_batch_fast([t for t, p in zip(texts_, parts, strict=True) if p is None], add_special_tokens=False))
         return [array("I", next(whole).ids).tobytes() if p is None else b"".join(map(self.known.__getitem__, p)) for p in parts]
 
