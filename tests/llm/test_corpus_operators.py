@@ -165,6 +165,24 @@ def test_components_of_rows_without_ids(spark):
     assert sorted(map(tuple, found), key=key) == sorted(naive_components(rows, 3, 90, 100), key=key)
 
 
+@pytest.mark.parametrize("page", [4, 11])
+def test_components_of_long_sets_over_pages(spark, monkeypatch, page):
+    """Sets of about 600 to 6,000 shingles in clusters of many pages, with finer counts, against all pairs."""
+    monkeypatch.setattr(jaccard_join, "PAGE", page)
+    r, rows = random.Random(page), []
+    for n in (520, 640, 2000, 6000):
+        base = [f"w{r.randrange(10**6)}" for _ in range(n)]
+        for _ in range(14):
+            copy = base[: n - r.choice([0, 0, n // 30])]
+            for _ in range(len(copy) // r.choice([15, 45, 60, 70, 400])):
+                copy[r.randrange(len(copy))] = f"v{r.randrange(10**6)}"
+            rows.append((len(rows), " ".join(copy)))
+    r.shuffle(rows)
+    found = jaccard_join.components(documents(spark, rows), 3, 90, 100).collect()
+    assert sorted(map(tuple, found)) == sorted(naive_components(rows, 3, 90, 100))
+    assert 4 < len({x.component_id for x in found}) < len(rows)
+
+
 def test_representatives(spark):
     text = " ".join(f"w{k}" for k in range(100))
     rows = [(5, text), (3, text + " more"), (9, "other"), (None, text), (12, None), (None, "quite alone here")]

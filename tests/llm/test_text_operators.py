@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import random
 import re
+import unicodedata
 import zlib
+from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -55,6 +58,39 @@ def test_language_cases(spark):
     assert language_id.identify(documents(spark, []), model).count() == 0
 
 
+def naive_language(model, text):
+    """Language and score of a text, one n-gram and one class at a time."""
+    if not any(unicodedata.category(c).startswith("L") for c in text):
+        return "und", 0.0
+    points, seen = [ord(c) for c in f" {text.lower()} "], defaultdict(int)
+    for n in language_id.LENGTHS:
+        for at in range(len(points) - n + 1):
+            h = n
+            for p in points[at : at + n]:
+                h = (h + p) * 0x9E3779B97F4A7C15 % 2**64
+                h ^= h >> 32
+            seen[h % language_id.FEATURES] += 1
+    x = {b: math.log1p(k) * float(model["idf"][b]) for b, k in seen.items()}
+    length = math.sqrt(sum(v * v for v in x.values()))
+    place = {int(b): i for i, b in enumerate(model["used"])}
+    z = [sum(v / length * float(model["weights"][place[b], c]) for b, v in x.items() if b in place) / model["temperature"] for c in range(len(model["classes"]))]
+    e = [math.exp(v - max(z)) for v in z]
+    best = max(range(len(e)), key=e.__getitem__)
+    return model["classes"][best], e[best] / sum(e)
+
+
+def test_language_against_a_naive_model(spark):
+    docs = common.table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text", "lang")
+    model = language_id.fit(docs.where("lang IS NOT NULL"))
+    own = [(r.doc_id, r.text) for r in docs.collect()]
+    rows = own + [(10**6, "ein Wort " * 9000), (10**6 + 1, "½ ²"), (10**6 + 2, ""), (10**6 + 3, None), (10**6 + 4, "É"), (own[0][0], own[0][1])]
+    found = language_id.identify(documents(spark, rows), model).collect()
+    wanted = [(k, *naive_language(model, t or "")) for k, t in rows]
+    assert len(found) == len(rows)
+    for r, (k, lang, score) in zip(sorted(found, key=lambda r: (r.doc_id, r.score)), sorted(wanted, key=lambda w: (w[0], w[2])), strict=True):
+        assert (r.doc_id, r.lang_pred) == (k, lang) and r.score == pytest.approx(score, abs=1e-4)
+
+
 def test_language_weights_are_sparse_and_blocks_add_up(monkeypatch):
     text = "".join(random.Random(1).choice("abcdé ") for _ in range(500))
     whole = language_id.counts(text)
@@ -175,6 +211,32 @@ def test_quality_network():
         assert g[name][at] == pytest.approx((up - down) / (2 * step), rel=0.1, abs=2e-3)
 
 
+def naive_quality(p, data):
+    """Score of a document, one position and one filter at a time."""
+    half, width = quality_cnn.HALF, quality_cnn.WIDTH
+    n = max(1, -(-len(data) // half))
+    data = data + bytes(n * half + width - 1 - len(data))
+    pools = [[max(max(0.0, float(p["bias"][f]) + sum(float(p["filters"][j][data[at + j]][f]) for j in range(width))) for at in range(k * half, (k + 1) * half)) for k in range(n)] for f in range(quality_cnn.FILTERS)]
+    chunks = [[max(x, y) for x, y in zip(row, row[1:])] or row for row in pools]
+    features = [sum(c) / len(c) for c in chunks] + [max(c) for c in chunks]
+    return 1 / (1 + math.exp(-(sum(a * float(b) for a, b in zip(features, p["out"], strict=True)) + float(p["shift"][0]))))
+
+
+def test_quality_against_a_naive_network(spark, monkeypatch):
+    """Scores of whole texts, over the borders of blocks, before and after the tables of byte pairs are made."""
+    monkeypatch.setattr(quality_cnn, "BLOCK", 4 * quality_cnn.HALF)
+    docs = common.table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text")
+    network = quality_cnn.fit(docs, common.table(spark, "/root/testdata/sf0.001", "labels"))
+    rows = [(r.doc_id, r.text) for r in docs.orderBy("doc_id").limit(25).collect()]
+    rows += [(10**6 + k, t) for k, t in enumerate(["", None, "a", "x" * 31, "x" * 32, "x" * 33, "Zeile\n" * 900, "é" * 64])]
+    wanted = {k: naive_quality(network.p, (t or "").encode()) for k, t in rows}
+    for k, t in rows:
+        assert network.score((t or "").encode()) == pytest.approx(wanted[k], abs=1e-4)
+    found = quality_cnn.scored(documents(spark, rows), network, "found").collect()
+    assert len(found) == len(rows)
+    assert all(r.found == pytest.approx(wanted[r.doc_id], abs=1e-4) for r in found)
+
+
 def test_quality_sees_the_whole_text(monkeypatch):
     n, _ = small_network()
     n.freeze()
