@@ -38,9 +38,11 @@ def _characters(text: Column) -> Column:
 def title(text: Column) -> Column:
     """Upper case after every character without case, lower case elsewhere; of a letter whose capital is two, the first is large."""
     capital = lambda c: F.concat(F.substring(F.upper(c), 1, 1), F.lower(F.substring(F.upper(c), 2, 9)))
-    start = F.struct(F.lit("").alias("out"), F.lit(False).alias("cased"))
-    step = lambda a, c: F.struct(F.concat(a["out"], F.when(a["cased"], F.lower(c)).otherwise(capital(c))).alias("out"), (F.upper(c) != F.lower(c)).alias("cased"))
-    return F.aggregate(_characters(text), start, step, lambda a: a["out"])
+    letters = _characters(text)
+    cased = lambda c: F.upper(c) != F.lower(c)
+    # Each character meets the one before it; the array of those is longer by one, and what it leaves over is null.
+    before = F.concat(F.array(F.lit("")), letters)
+    return F.array_join(F.zip_with(letters, before, lambda c, b: F.when(cased(b), F.lower(c)).otherwise(capital(c))), "")
 
 
 def _split_word(word: Column) -> Column:

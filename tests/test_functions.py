@@ -63,6 +63,12 @@ def test_title_beyond_ascii(spark):
     assert {r.w: r.t for r in found if r.w not in ("ŉa", "ΣΑΣ")} == {w: w.title() for w in words if w not in ("ŉa", "ΣΑΣ")}
 
 
+def test_title_of_a_long_token(spark):
+    """The work is in proportion to the length: a growing copy for each letter would take minutes here."""
+    long = "abC-é " * 60_000
+    assert column(spark, [long, "", None], fn.title) == [long.title(), "", None]
+
+
 def test_title_and_upper(spark):
     values = ["O'NEIL", "it's", "3rd", "keller'si iga", "ABC", "aBC", "É", "", "12"]
     assert column(spark, values, fn.title) == [v.title() for v in values]
