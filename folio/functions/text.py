@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ DIGIT = r"[\p{Nd}²³¹⁰⁴-⁹₀-₉①-⑨]"
 EDGES = ".,;:()[]{}"
 #: Word beginnings after which a capital does not start a new word.
 PREFIXES = ("Mc", "Mac", "O")
+#: What may follow a last name.
 SUFFIXES = ("jr", "sr", "ii", "iii", "iv", "v")
 
 
@@ -45,23 +48,16 @@ def title(text: Column) -> Column:
     return F.array_join(F.zip_with(letters, before, lambda c, b: F.when(cased(b), F.lower(c)).otherwise(capital(c))), "")
 
 
-def _split_word(word: Column) -> Column:
-    """Scans left to right; a capital opens a new word unless the current one is a prefix."""
-    letters = _characters(word)
-    start = F.struct(F.lit("").alias("done"), F.get(letters, F.lit(0)).alias("now"))
-
-    def step(a: Column, c: Column) -> Column:
-        opens = (F.lower(c) != c) & ~a["now"].isin(*PREFIXES)
-        return F.struct(F.when(opens, F.concat(a["done"], a["now"], F.lit(" "))).otherwise(a["done"]).alias("done"), F.when(opens, c).otherwise(F.concat(a["now"], c)).alias("now"))
-
-    return F.aggregate(F.slice(letters, 2, F.greatest(F.size(letters) - 1, F.lit(0))), start, step, lambda a: F.concat(a["done"], a["now"]))
+#: What a joined word falls into: what is before its first capital; then a capital and what follows up to the next one, which takes
+#: the next such piece too if it is one of PREFIXES alone.
+_JOINED = rf"\P{{Lu}}+|(?:(?:{'|'.join(PREFIXES)})(?=\p{{Lu}}))?\p{{Lu}}\P{{Lu}}*"
 
 
 def split_joined_capitals(text: Column) -> Column:
     """JakeSmith -> Jake Smith; words in capitals and words of fewer than six letters stay as they are."""
     parts = F.regexp_extract_all(text, F.lit(rf"[A-Za-z]+|{SPACE}+|[^A-Za-z{SPACE[1:-1]}]+"), F.lit(0))
     joined = lambda p: p.rlike(r"^\p{L}+$") & ~is_upper(p) & (F.length(p) >= 6)
-    return F.array_join(F.transform(parts, lambda p: F.when(joined(p), _split_word(p)).otherwise(p)), "")
+    return F.array_join(F.transform(parts, lambda p: F.when(joined(p), F.array_join(F.regexp_extract_all(p, F.lit(_JOINED), F.lit(0)), " ")).otherwise(p)), "")
 
 
 def clean_name(text: Column, stopwords: tuple[str, ...] = ()) -> Column:
@@ -77,9 +73,12 @@ def corpus_key(token: Column) -> Column:
     return F.regexp_replace(F.lower(token), "[^a-z]", "")
 
 
-def similarity(a: Column, b: Column, cutoff: float = 0.0) -> Column:
-    """0 to 100: edit distance and difference of lengths against the shorter length; 0 below the cutoff."""
-    a, b = F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))
+def similarity(a: Column, b: Column, cutoff: float = 0.0, processor: Callable[[Column], Column] | None = None) -> Column:
+    """0 to 100: edit distance and difference of lengths against the shorter length; 0 below the cutoff. Null is empty.
+
+    processor: what is done to both texts first.
+    """
+    a, b = (F.coalesce(processor(x) if processor else x, F.lit("")) for x in (a, b))
     shorter = F.greatest(F.lit(1), F.least(F.length(a), F.length(b)))
     value = F.greatest(F.lit(0.0), (1 - (F.levenshtein(a, b) + F.abs(F.length(a) - F.length(b))) / shorter) * 100)
     return F.when(value >= cutoff, value).otherwise(F.lit(0.0))
@@ -90,8 +89,9 @@ def page_stem(page: Column) -> Column:
 
 
 def utc_stamp(at: Column) -> Column:
-    """The session's time zone is expected to be UTC."""
-    return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """Seconds in UTC, whatever the session's time zone."""
+    wall = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=F.unix_seconds(at))
+    return F.concat(F.replace(wall.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
 
 
 def scale_of(dpi: float) -> float:

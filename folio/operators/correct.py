@@ -1,4 +1,14 @@
-"""Name correction against name corpora of a decade: (name, weight, idx) tables, best first."""
+"""Name correction against name corpora of a decade: (name, weight, idx) tables, best first.
+
+Similarity is 100 (1 - (distance + difference of lengths) / shorter length), so a name that differs from a token of length n by
+more than e edits scores at most 100 (1 - (e + 1) / n). Matching uses this bound in steps, each for the tokens that the
+one before has left open: equal names; names that share a string left after up to EDITS deletions on both sides; and, for tokens
+whose k-th best score is not above the bound then, names of the lengths that can still reach that score, of which only those
+are compared whose letters allow it.
+
+Defined cases: null and empty tokens match nothing; a token like no name gets what the functions say; a corpus may be empty;
+repeated tokens are one; names that repeat in a corpus are rows each.
+"""
 
 from __future__ import annotations
 
@@ -6,9 +16,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folio.functions.text import SUFFIXES, corpus_key, normalize_space, similarity, title
+from folio.operators.names import Recognizer, first_person
+from folio.operators.shared import ranked, written
 
-#: A corpus up to this size is sent to all executors; a larger one is shuffled by length.
+#: Names of a corpus that are sent to all executors at once; of a larger one each token meets several parts.
 BROADCAST_ROWS = 200_000
+#: Deletions by which names are found in the index, and the longest tokens that are looked up there.
+EDITS, LONGEST = 2, 20
 
 
 def pick_decade(year: Column, decades: Column) -> Column:
@@ -22,9 +36,8 @@ def corpus(names: DataFrame, year: int, rising: bool) -> DataFrame:
     decades = names.agg(F.array_sort(F.collect_set(F.col("decade").cast("int"))).alias("all"))
     chosen = decades.select(pick_decade(F.lit(year), F.col("all")).alias("d"))
     own = names.join(F.broadcast(chosen), F.col("decade").cast("int") == F.col("d")).select("name", "weight")
-    order = [F.asc("weight") if rising else F.desc("weight"), F.asc("name")]
-    # A corpus is a list of names, which one task can order.
-    return own.withColumn("idx", F.row_number().over(Window.orderBy(*order)) - 1)
+    rows = ranked(own, [F.asc("weight") if rising else F.desc("weight"), F.asc("name")])
+    return rows.withColumn("idx", F.col("idx").cast("int"))
 
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
@@ -35,28 +48,115 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("decade", F.explode("names").alias("name", "weight"))
 
 
-def _lengths(n: Column) -> Column:
-    """Lengths that can have a similarity over 0 with length n: twice the difference is less than the shorter."""
-    return F.sequence((F.floor(2 * n / 3) + 1).cast("int"), F.greatest(F.ceil(3 * n / 2).cast("int") - 1, n))
+def _letters(text: Column) -> Column:
+    """Bits of the characters that text has, and of those that it has twice, in 31 classes each."""
+    bit = lambda c, by: F.call_function("shiftleft", F.lit(1).cast("long"), (F.ascii(c) % 31 + by).cast("int"))
+    add = lambda m, c: m.bitwiseOR(F.when(m.bitwiseAND(bit(c, 0)) == 0, bit(c, 0)).otherwise(bit(c, 31)))
+    return F.aggregate(F.filter(F.split(text, ""), lambda c: c != ""), F.lit(0).cast("long"), add)
+
+
+def _at_least(a: Column, b: Column) -> Column:
+    """Edits that texts with such letters differ by, at least: what one has and the other has not."""
+    return F.greatest(F.bit_count(a.bitwiseAND(F.bitwise_not(b))), F.bit_count(b.bitwiseAND(F.bitwise_not(a))))
+
+
+def deletions(text: Column, edits: int) -> Column:
+    """The distinct strings that are left after up to so many deletions."""
+    less = lambda x: F.transform(F.sequence(F.lit(1), F.length(x)), lambda i: F.concat(F.substring(x, 1, i - 1), F.substr(x, i + 1)))
+    levels = [F.array(text)]
+    for _ in range(edits):
+        longer = F.filter(levels[-1], lambda x: F.length(x) > 0)
+        levels.append(F.array_distinct(F.flatten(F.transform(longer, less))))
+    return F.array_distinct(F.concat(*levels))
+
+
+def _bound(size: Column, edits: int) -> Column:
+    """What a name that takes more edits than this scores at most with a token of this length."""
+    return (1 - F.lit(edits + 1) / size) * 100
+
+
+def _scored(pairs: DataFrame) -> DataFrame:
+    return pairs.withColumn("score", similarity(F.col("token"), F.col("name"))).where("score > 0")
+
+
+def near(tokens: DataFrame, names: DataFrame, edits: int = EDITS) -> DataFrame:
+    """token and the columns of names: every pair that takes up to so many edits, and some more; tokens up to LONGEST."""
+    left = tokens.where(F.length("token") <= LONGEST).select("token", F.explode(deletions(F.col("token"), edits)).alias("_key"))
+    right = names.where(F.length("name") <= LONGEST + edits).select(*names.columns, F.explode(deletions(F.col("name"), edits)).alias("_key"))
+    pairs = left.join(right, "_key").where(F.abs(F.length("token") - F.length("name")) <= edits)
+    return pairs.drop("_key").distinct()
+
+
+def _reachable(size: Column, score: Column) -> Column:
+    """Lengths of names that can have this score with a token of this length, as the distance is no less than the difference."""
+    room = 1 - score / 100
+    least = F.floor(size - size * room / (2 + room) - 1e-9)  # a shorter name divides by its own length
+    return F.sequence(F.greatest(least, F.lit(1)).cast("int"), F.ceil(size + size * room / 2 + 1e-9).cast("int"))
+
+
+def far(tokens: DataFrame, names: DataFrame) -> DataFrame:
+    """token, the columns of names, score: every pair with a score over 0 and no less than floor; tokens: token, floor.
+
+    Pairs of the right lengths meet; the letters of both bound the score before the distance is computed.
+    """
+    parts = max(1, -(-names.count() // BROADCAST_ROWS))
+    part = F.lit(0) if parts == 1 else F.pmod(F.xxhash64("name"), F.lit(parts)).cast("int")
+    held = names.withColumns({"_size": F.length("name"), "_letters": _letters(F.col("name")), "_part": part})
+    asked = tokens.withColumns({"_own": _letters(F.col("token")), "_n": F.length("token")})
+    asked = asked.withColumn("_size", F.explode(_reachable(F.col("_n"), F.col("floor"))))
+    asked = asked.withColumn("_part", F.lit(0) if parts == 1 else F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    pairs = asked.join(F.broadcast(held) if parts == 1 else held, ["_size", "_part"])
+    least = _at_least(F.col("_own"), F.col("_letters"))
+    best = (1 - (F.greatest(least, F.abs(F.col("_n") - F.col("_size"))) + F.abs(F.col("_n") - F.col("_size"))) / F.least("_n", "_size")) * 100
+    # The second condition has the distance; it is computed only where the first holds.
+    found = pairs.where((best > 0) & (best >= F.col("floor")))
+    found = _scored(found).where(F.col("score") >= F.col("floor"))
+    return found.select("token", *names.columns, "score")
 
 
 def matches(tokens: DataFrame, names: DataFrame) -> DataFrame:
     """token, name, weight, idx, score of all pairs with a score over 0; tokens: distinct token."""
-    names = names.select("name", "weight", "idx", F.length("name").alias("size"))
-    if names.count() <= BROADCAST_ROWS:
-        names = F.broadcast(names)
-    by_length = tokens.where("length(token) > 0").select("token", F.explode(_lengths(F.length("token"))).alias("size"))
-    pairs = by_length.join(names, "size").withColumn("score", similarity(F.col("token"), F.col("name")))
-    return pairs.where("score > 0").select("token", "name", "weight", "idx", "score")
+    asked = tokens.where("length(token) > 0").select("token", F.lit(0.0).alias("floor"))
+    return far(asked, names.select("name", "weight", "idx"))
+
+
+def contenders(tokens: DataFrame, names: DataFrame, k: int) -> DataFrame:
+    """token, name, weight, idx, score: for each token at least its k best names that score over 0, and all that tie with the k-th."""
+    names = names.select("name", "weight", "idx")
+    tokens = written(tokens.where("length(token) > 0").select("token").distinct(), "tokens")
+    found = []
+    if k == 1:  # a name that equals its token has the highest score, which no other has
+        same = tokens.join(names, tokens.token == names.name).select("token", *names.columns, F.lit(100.0).alias("score"))
+        found.append(written(same, "equal"))
+        tokens = written(tokens.join(found[-1].select("token").distinct(), "token", "left_anti"), "tokens")
+    if not tokens.isEmpty():
+        close = written(_scored(near(tokens, names)), "near")
+        # The k-th best score of each token, if it has so many; the rest of its names score no more than the bound.
+        order = Window.partitionBy("token").orderBy(F.desc("score"))
+        kth = close.withColumn("_r", F.row_number().over(order)).where(F.col("_r") == k).select("token", F.col("score").alias("floor"))
+        both = tokens.join(kth, "token", "left").withColumn("floor", F.coalesce("floor", F.lit(0.0)))
+        bound = F.when(F.length("token") <= LONGEST, _bound(F.length("token"), EDITS)).otherwise(F.lit(100.0))
+        settled = (F.col("floor") > bound) | (bound <= 0)
+        both = written(both.withColumn("settled", settled), "settled")
+        found.append(close.join(both.where("settled").select("token"), "token"))
+        open_ = both.where("NOT settled").select("token", "floor")
+        if not open_.isEmpty():
+            found.append(far(open_, names))
+    if not found:
+        return tokens.join(names, F.lit(False)).withColumn("score", F.lit(0.0))
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def top_matches(tokens: DataFrame, names: DataFrame, k: int = 5) -> DataFrame:
     """The k best names of each token with rank 1 to k: highest score, then the corpus's own order; scores may be 0."""
     order = Window.partitionBy("token").orderBy(F.desc("score"), "idx")
-    found = matches(tokens, names)
+    found = contenders(tokens, names, k)
     # What scores 0 comes in the corpus's order, so of such names only the first k + k can be among the best, as at most k score more.
     first = names.where(F.col("idx") < 2 * k).select("name", "weight", "idx")
-    rest = tokens.where("length(token) > 0").crossJoin(F.broadcast(first)).withColumn("score", similarity(F.col("token"), F.col("name"))).where("score = 0")
+    rest = tokens.where("length(token) > 0").distinct().crossJoin(F.broadcast(first)).withColumn("score", similarity(F.col("token"), F.col("name"))).where("score = 0")
     both = found.unionByName(rest.select("token", "name", "weight", "idx", "score"))
     return both.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
@@ -65,28 +165,42 @@ def best_names(tokens: DataFrame, names: DataFrame, rising: bool, min_score: flo
     """token and best: highest score, then weight, then corpus order. A token like no name gets the corpus's
     first, as every name then scores 0; with min_score over 0, or an empty corpus, it stays as it is."""
     prior = -F.col("weight") if rising else F.col("weight")
-    found = matches(tokens, names).where(F.col("score") >= min_score)
+    found = contenders(tokens, names, 1).where(F.col("score") >= min_score)
     best = found.groupBy("token").agg(F.max_by("name", F.struct("score", prior.alias("w"), (-F.col("idx")).alias("i"))).alias("best"))
-    out = tokens.where("length(token) > 0").join(best, "token", "left")
+    out = tokens.where("length(token) > 0").distinct().join(best, "token", "left")
     if min_score > 0:
         return out.withColumn("best", F.coalesce("best", "token"))
     head = names.where("idx = 0").agg(F.first("name").alias("head"))
     return out.withColumn("_head", head.scalar()).select("token", F.coalesce("best", "_head", "token").alias("best"))
 
 
+def _words(text: Column) -> Column:
+    return F.filter(F.split(normalize_space(text), " "), lambda w: w != "")
+
+
+def base_and_suffix(text: Column) -> Column:
+    """struct(base, suffix) of a name in title case: what is before a comma, or a last word that is one of SUFFIXES, and that."""
+    base = title(normalize_space(text))
+    all_ = _words(base)
+    last = F.get(F.reverse(all_), F.lit(0))
+    comma, ends = F.instr(base, ",") > 0, F.coalesce(F.lower(F.rtrim(last, F.lit("."))).isin(*SUFFIXES), F.lit(False))
+    short = F.array_join(F.slice(all_, 1, F.greatest(F.size(all_) - 1, F.lit(0))), " ")
+    own = F.when(comma, F.substring_index(base, ",", 1)).when(ends, short).otherwise(base)
+    suffix = F.when(comma, F.trim(F.regexp_extract(base, r"(?s)^[^,]*,(.*)$", 1))).when(ends, last).otherwise("")
+    return F.struct(own.alias("base"), suffix.alias("suffix"))
+
+
+def given_and_last(name: Column) -> Column:
+    """struct(given array, last): the words of a name but the last, and the last."""
+    own = _words(name)
+    return F.struct(F.slice(own, 1, F.greatest(F.size(own) - 1, F.lit(0))).alias("given"), F.coalesce(F.get(F.reverse(own), F.lit(0)), F.lit("")).alias("last"))
+
+
 def split_name(text: Column) -> Column:
     """struct(given array, last, suffix) of a name in title case."""
-    base = title(normalize_space(text))
-    words = lambda s: F.filter(F.split(normalize_space(s), " "), lambda w: w != "")
-    tail = F.lower(F.rtrim(F.get(F.reverse(words(base)), F.lit(0)), F.lit(".")))
-    comma, ends = F.instr(base, ",") > 0, F.coalesce(tail.isin(*SUFFIXES), F.lit(False))
-    all_ = words(base)
-    short = F.slice(all_, 1, F.greatest(F.size(all_) - 1, F.lit(0)))
-    own = F.when(comma, words(F.substring_index(base, ",", 1))).when(ends, short).otherwise(all_)
-    suffix = F.when(comma, F.trim(F.regexp_extract(base, r"(?s)^[^,]*,(.*)$", 1))).when(ends, F.get(F.reverse(all_), F.lit(0))).otherwise("")
-    return F.struct(
-        F.slice(own, 1, F.greatest(F.size(own) - 1, F.lit(0))).alias("given"), F.coalesce(F.get(F.reverse(own), F.lit(0)), F.lit("")).alias("last"), suffix.alias("suffix")
-    )
+    parts = base_and_suffix(text)
+    own = given_and_last(parts["base"])
+    return F.struct(own["given"].alias("given"), own["last"].alias("last"), parts["suffix"].alias("suffix"))
 
 
 class NoOpCorrector:
@@ -97,16 +211,26 @@ class NoOpCorrector:
 
 
 class NameCorrector:
-    """Given names by (similarity, frequency), the last name by (similarity, rank)."""
+    """Given names by (similarity, frequency), the last name by (similarity, rank).
+
+    recognizer: reads the name without its suffix; the first person that it finds there is split, else all of it.
+    """
 
     enabled = True
 
-    def __init__(self, first: DataFrame, last: DataFrame, min_score: float = 0.0):
-        self.first, self.last, self.min_score = first, last, min_score
+    def __init__(self, first: DataFrame, last: DataFrame, min_score: float = 0.0, recognizer: Recognizer | None = None):
+        self.first, self.last, self.min_score, self.recognizer = first, last, min_score, recognizer
+
+    def split(self, names: DataFrame) -> DataFrame:
+        """name and p (given array, last, suffix) of each distinct name, which the recogniser reads once."""
+        parts = names.select("name").distinct().withColumn("_b", base_and_suffix(F.col("name")))
+        parts = parts.select("name", F.col("_b.suffix").alias("suffix"), first_person(F.col("_b.base"), self.recognizer).alias("_who"))
+        own = parts.withColumn("_p", given_and_last(F.col("_who")))
+        return own.select("name", F.struct("_p.given", "_p.last", "suffix").alias("p"))
 
     def correct(self, names: DataFrame) -> DataFrame:
         """name and corrected for each distinct name; distinct tokens are matched once."""
-        parts = names.select("name").distinct().withColumn("p", split_name(F.col("name")))
+        parts = written(self.split(names), "name-parts")
         given = parts.select("name", F.posexplode("p.given").alias("pos", "raw")).withColumn("token", corpus_key(F.col("raw"))).where("token <> ''")
         firsts = best_names(given.select("token").distinct(), self.first, False, self.min_score)
         given = given.join(firsts, "token").groupBy("name").agg(F.sort_array(F.collect_list(F.struct("pos", title(F.col("best")).alias("t")))).alias("g"))
@@ -121,7 +245,7 @@ class NameCorrector:
         return out.select("name", F.when((raw == "") | (whole == ""), raw).otherwise(whole).alias("corrected"))
 
 
-def corrector(spark: SparkSession, enabled: bool, first_path: str, last_path: str, year: int) -> NoOpCorrector | NameCorrector:
+def corrector(spark: SparkSession, enabled: bool, first_path: str, last_path: str, year: int, recognizer: Recognizer | None = None) -> NoOpCorrector | NameCorrector:
     """A corrector if it is enabled and both corpora can be read; else one that only normalises."""
     if not enabled:
         return NoOpCorrector()
@@ -132,4 +256,4 @@ def corrector(spark: SparkSession, enabled: bool, first_path: str, last_path: st
     except Exception as e:  # whatever keeps the corpora from being read
         print(f"name correction is off: {type(e).__name__}")
         return NoOpCorrector()
-    return NameCorrector(first, last)
+    return NameCorrector(first, last, recognizer=recognizer)

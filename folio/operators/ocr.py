@@ -1,4 +1,8 @@
-"""Pages of OCR output as VARIANT: cleaning, tagging, blocks and summaries."""
+"""Pages of OCR output as VARIANT: identity, cleaning, tagging, blocks and summaries.
+
+Defined cases: a page whose text is no JSON counts as one that is not there; a page that is JSON but no object is kept as it
+is and has no blocks; keys that nothing here names stay; a null book is a book; an empty table gives empty results.
+"""
 
 from __future__ import annotations
 
@@ -31,6 +35,93 @@ def clean_arrays(pages: DataFrame) -> DataFrame:
     return masked.select(*[own(c).alias(c) if c in mask_of else F.col(c) for c in pages.columns])
 
 
+def unique_pages(pages: DataFrame) -> DataFrame:
+    """One row for each book and page, with copies, the number of rows that there were: the one that was modified last, then
+    by name, then by value, so that every order and partitioning of the rows gives the same. pages: book, page, value, name, modified."""
+    rank = F.struct("modified", "name", F.coalesce("value", F.lit("")).alias("value"))
+    best = F.max_by(F.struct("value", "name", "modified"), rank)
+    held = pages.where("page IS NOT NULL").groupBy("book", "page").agg(best.alias("_b"), F.count("*").alias("copies"))
+    return held.select("book", "page", "_b.value", "_b.name", "_b.modified", "copies")
+
+
+def mismatches(pages: DataFrame, books: DataFrame) -> DataFrame:
+    """book, kind, page, name, n of what is odd about pages (book, page, value, name, modified) of books (book, page_count):
+
+    duplicate: a page with n rows; odd name: a file that names no page; no json: a page whose text is none; beyond: a page that
+    the book has not; count: n pages that are there, where this is not page_count; unknown book: n pages of a book that is not in books.
+    """
+    row = lambda df, kind, page, name, n: df.select("book", F.lit(kind).alias("kind"), page.cast("int").alias("page"), name.cast("string").alias("name"), n.cast("long").alias("n"))
+    none, one = F.lit(None), F.lit(1)
+    single = unique_pages(pages)
+    there = single.join(books, "book")
+    counts = books.join(there.where("page BETWEEN 1 AND page_count").groupBy("book").agg(F.count("*").alias("_n")), "book", "left")
+    found = [
+        row(single.where("copies > 1"), "duplicate", F.col("page"), F.col("name"), F.col("copies")),
+        row(pages.where("page IS NULL"), "odd name", none, F.col("name"), one),
+        row(single.where(F.try_parse_json("value").isNull()), "no json", F.col("page"), F.col("name"), one),
+        row(there.where("page NOT BETWEEN 1 AND page_count"), "beyond", F.col("page"), F.col("name"), one),
+        row(counts.where("coalesce(_n, 0) <> page_count"), "count", none, none, F.coalesce("_n", F.lit(0))),
+        row(single.join(books, "book", "left_anti").groupBy("book").agg(F.count("*").alias("_n")), "unknown book", none, none, F.col("_n")),
+    ]
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _object(v: Column) -> Column:
+    """The keys and values of an object; null if it is none."""
+    return F.try_variant_get(v, "$", "map<string,variant>")
+
+
+def _array(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "array<variant>")
+
+
+def cleaned(pages: DataFrame) -> DataFrame:
+    """pages (v, ...) with the parallel arrays of each object filtered by its texts, as clean_arrays() does; all other keys stay.
+
+    What is no text is not blank, whatever it is; null is. A family whose texts are no array stays as it is, and so does a
+    key of it that is no array.
+    """
+    texts = lambda name: F.transform(F.try_variant_get("v", f"$.{name}", "array<variant>"), lambda t: t.cast("string"))
+    # The masks are columns of their own, so that each is made once and from what the page had.
+    masked = pages.withColumns({f"_keep_{t}": kept(texts(t)) for t in FAMILIES} | {"_keys": _object(F.col("v"))})
+    mask_of = {name: t for t, others in FAMILIES.items() for name in (t, *others)}
+
+    def own(key: Column, value: Column) -> Column:
+        less = [F.when((key == name) & F.col(f"_keep_{t}").isNotNull() & _array(value).isNotNull(), F.to_variant_object(filtered(_array(value), F.col(f"_keep_{t}")))) for name, t in mask_of.items()]
+        return F.coalesce(*less, value)
+
+    v = F.when(F.col("_keys").isNotNull(), F.to_variant_object(F.transform_values("_keys", own))).otherwise(F.col("v"))
+    return masked.withColumn("v", v).select(*pages.columns)
+
+
+def _with(keys: Column, name: str, value: Column) -> Column:
+    """An object of these keys and values, with one more or another value for one."""
+    return F.to_variant_object(F.map_concat(F.map_filter(keys, lambda k, _: k != name), F.create_map(F.lit(name), value.cast("variant"))))
+
+
+def numbered(pages: DataFrame) -> DataFrame:
+    """pages (page, v, ...) where objects have their page_number, and so has each object in their parsing_res_list."""
+    page, keys = F.col("page").cast("int"), _object(F.col("v"))
+    tag = lambda b: F.coalesce(_with(_object(b), "page_number", page), b)
+    inner = lambda k, x: F.when((k == "parsing_res_list") & _array(x).isNotNull(), F.to_variant_object(F.transform(_array(x), tag))).otherwise(x)
+    v = F.when(keys.isNotNull(), _with(F.transform_values(keys, inner), "page_number", page)).otherwise(F.col("v"))
+    return pages.withColumn("v", v)
+
+
+def compiled(pages: DataFrame, books: DataFrame | None = None) -> DataFrame:
+    """book, page, v: pages (book, page, value) parsed, cleaned and numbered; what is not there has its index from 0 only.
+
+    books (book, page_count): then every page of these is there, and no other.
+    """
+    every = pages.select("book", F.col("page").cast("int").alias("page"), "value")
+    read = parsed(complete(every, books) if books is not None else every)
+    absent = F.to_variant_object(F.struct((F.col("page") - 1).alias("page_index")))
+    return numbered(cleaned(read.select("book", "page", F.coalesce("v", absent).alias("v"))))
+
+
 def parsed(pages: DataFrame) -> DataFrame:
     """pages (book, page, value JSON text) with v, a VARIANT; null where the text is no JSON."""
     return pages.withColumn("v", F.try_parse_json("value"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folio.functions import text as fn
-from folio.operators import correct, names, ocr, sections
+from folio.operators import correct, names, ocr, sections, shared
 from folio.sources import adapters
 
 YEAR = 1980
@@ -233,9 +233,86 @@ def meta_bundle(spark, sf_dir):
     return ocr.meta(pages, ocr.blocks(pages)).select("book", "file_name", "total_pages", F.array_join(counts, "|").alias("counts"))
 
 
-def _section_names(spark, sf_dir) -> DataFrame:
+def _raw_pages(spark, sf_dir) -> DataFrame:
+    """book, page, value: lines as parallel arrays, one score less than texts, and as blocks, beside a key that nothing names."""
+    held = _blocks(spark, sf_dir).groupBy("book", "page").agg(F.sort_array(F.collect_list(F.struct("pos", "label", "content"))).alias("all"))
+    scores = F.slice(F.transform("all", lambda b: b["pos"]), 1, F.size("all") - 1)
+    one = lambda b: F.struct(b["label"].alias("block_label"), b["content"].alias("block_content"))
+    page = F.struct(F.transform("all", lambda b: b["content"]).alias("rec_texts"), scores.alias("rec_scores"), F.transform("all", one).alias("parsing_res_list"), F.struct("book").alias("extra"))
+    return held.select("book", "page", F.to_json(page).alias("value"))
+
+
+def _strings(path: str):
+    return F.coalesce(F.array_join(F.try_variant_get("v", path, "array<string>"), "|"), F.lit(""))
+
+
+_FILLED = f"{_norm('content')} <> ''"
+
+
+@query(f"""WITH {_BLOCKS}, m AS (SELECT *, max(pos) OVER (PARTITION BY book, page) AS last FROM blocks)
+    SELECT book, page, coalesce(string_agg(content, '|' ORDER BY pos) FILTER ({_FILLED}), '') AS texts, coalesce(string_agg(pos, '|' ORDER BY pos) FILTER ({_FILLED} AND pos < last), '') AS scores,
+        page AS page_number, string_agg(label || ':' || page, '|' ORDER BY pos) AS tagged, book AS extra FROM m GROUP BY book, page""")
+def clean_pages(spark, sf_dir):
+    pages = ocr.compiled(_raw_pages(spark, sf_dir))
+    blocks = F.try_variant_get("v", "$.parsing_res_list", "array<struct<block_label: string, page_number: string>>")
+    tagged = F.array_join(F.transform(blocks, lambda b: F.concat_ws(":", b["block_label"], b["page_number"])), "|")
+    number, extra = F.try_variant_get("v", "$.page_number", "int"), F.try_variant_get("v", "$.extra.book", "long")
+    return pages.select("book", "page", _strings("$.rec_texts").alias("texts"), _strings("$.rec_scores").alias("scores"), number.alias("page_number"), tagged.alias("tagged"), extra.alias("extra"))
+
+
+@query(f"""WITH {_BLOCKS}, e AS (SELECT book, CAST(unnest(range(1, max(page) + 2)) AS INTEGER) AS page FROM blocks GROUP BY book),
+    t AS (SELECT book, page, count(*) FILTER ({_FILLED}) AS n FROM blocks GROUP BY 1, 2 HAVING bool_or(label = 'header'))
+    SELECT e.book, e.page, e.page AS page_number, CASE WHEN t.page IS NULL THEN e.page - 1 END AS page_index, n AS n_texts FROM e LEFT JOIN t ON e.book = t.book AND e.page = t.page""")
+def compiled_pages(spark, sf_dir):
+    """Pages without a header are taken as pages that are not there; one more is expected than a book has."""
     blocks = _blocks(spark, sf_dir)
-    return names.names_of_sections(sections.assigned(blocks), sections.markers(blocks))
+    there = blocks.groupBy("book", "page").agg(F.max(F.col("label") == "header").alias("has")).where("has").drop("has")
+    books = blocks.groupBy("book").agg((F.max("page") + 1).alias("page_count"))
+    pages = ocr.compiled(_raw_pages(spark, sf_dir).join(there, ["book", "page"], "left_semi"), books)
+    get = lambda name, kind: F.try_variant_get("v", f"$.{name}", kind)
+    return pages.select("book", "page", get("page_number", "int").alias("page_number"), get("page_index", "int").alias("page_index"), F.size(get("rec_texts", "array<variant>")).cast("long").alias("n_texts")).withColumn(
+        "n_texts", F.when(F.col("page_index").isNull(), F.col("n_texts"))
+    )
+
+
+@query(f"WITH {_BLOCKS} SELECT book, CAST(count(*) FILTER ({_FILLED}) AS BIGINT) AS n FROM blocks GROUP BY book")
+def texts_clean(spark, sf_dir):
+    return ocr.texts_clean(ocr.compiled(_raw_pages(spark, sf_dir)))
+
+
+def _page_files(spark, sf_dir) -> DataFrame:
+    """Documents as files for the pages of a book for each source, many for one page."""
+    docs = _table(spark, sf_dir, "documents")
+    number = F.when(F.col("doc_id") % 11 > 0, (F.col("doc_id") % 101).cast("int"))
+    name = F.concat(F.lit("page"), F.lpad((F.col("doc_id") % 101).cast("string"), 4, "0"), F.when(number.isNull(), F.lit("x")).otherwise(""), F.lit(".json"))
+    return docs.select(F.col("source").alias("book"), number.alias("page"), F.to_json(F.struct("text", "lang")).alias("value"), name.alias("name"), F.timestamp_seconds("n_chars").alias("modified"), "doc_id")
+
+
+_PAGE_FILES = """files AS (SELECT source AS book, CASE WHEN doc_id % 11 > 0 THEN CAST(doc_id % 101 AS INTEGER) END AS page, n_chars, text, doc_id,
+    'page' || lpad(CAST(doc_id % 101 AS VARCHAR), 4, '0') || CASE WHEN doc_id % 11 > 0 THEN '' ELSE 'x' END || '.json' AS name FROM documents)"""
+
+
+@query(f"WITH {_PAGE_FILES} SELECT book, page, count(*) AS copies, max(n_chars) AS modified, min(name) AS name FROM files WHERE page IS NOT NULL GROUP BY 1, 2")
+def unique_pages(spark, sf_dir):
+    return ocr.unique_pages(_page_files(spark, sf_dir)).select("book", "page", "copies", F.unix_seconds("modified").alias("modified"), "name")
+
+
+@query(f"""WITH {_PAGE_FILES}, one AS (SELECT book, page, name, count(*) AS copies FROM files WHERE page IS NOT NULL GROUP BY 1, 2, 3)
+    SELECT book, 'duplicate' AS kind, page, name, copies AS n FROM one WHERE copies > 1 UNION ALL SELECT book, 'odd name', NULL, name, 1 FROM files WHERE page IS NULL
+    UNION ALL SELECT book, 'beyond', page, name, 1 FROM one WHERE page NOT BETWEEN 1 AND 90 UNION ALL SELECT book, 'count', NULL, NULL, count(*) FILTER (page BETWEEN 1 AND 90) FROM one GROUP BY book HAVING count(*) FILTER (page BETWEEN 1 AND 90) <> 90""")
+def page_mismatches(spark, sf_dir):
+    pages = _page_files(spark, sf_dir)
+    return ocr.mismatches(pages, pages.select("book").distinct().withColumn("page_count", F.lit(90)))
+
+
+@query(ORACLES["section_assign_asof"])
+def section_assign_ranges(spark, sf_dir):
+    """The same by ranges, as for books that are too large for a task."""
+    return sections.assigned(_blocks(spark, sf_dir), giant=10)
+
+
+def _section_names(spark, sf_dir) -> DataFrame:
+    return names.section_names(sections.filled(_blocks(spark, sf_dir))).where("marker > 0")
 
 
 _NAMES = f"""{_ALL}, nc AS (SELECT book, marker, unnest(string_split_regex(text, '[.,]+')) AS c FROM assigned),
@@ -245,9 +322,7 @@ _NAMES = f"""{_ALL}, nc AS (SELECT book, marker, unnest(string_split_regex(text,
 @query(f"""{_NAMES} SELECT m.book, m.marker, m.header, m.page, count(name) AS n_names, coalesce(string_agg(name, '|' ORDER BY name), '') AS names
     FROM markers m LEFT JOIN names n ON m.book = n.book AND m.marker = n.marker GROUP BY 1, 2, 3, 4""")
 def section_names(spark, sf_dir):
-    blocks = _blocks(spark, sf_dir)
-    heads = sections.markers(blocks)
-    found = names.names_of_sections(sections.assigned(blocks), heads).join(heads.select("book", "marker", "page"), ["book", "marker"])
+    found = _section_names(spark, sf_dir)
     return found.select("book", "marker", "header", "page", F.size("names").cast("long").alias("n_names"), F.array_join("names", "|").alias("names"))
 
 
@@ -290,8 +365,8 @@ def _first(spark, sf_dir) -> DataFrame:
 
 
 def _last(spark, sf_dir) -> DataFrame:
-    rank = F.row_number().over(Window.orderBy(F.desc("n"), "name"))  # a list of names
-    return correct.corpus(_capital(spark, sf_dir).select(F.lit("1980").alias("decade"), "name", rank.cast("long").alias("weight")), YEAR, True)
+    by_rank = shared.ranked(_capital(spark, sf_dir), [F.desc("n"), F.asc("name")], "weight", 1)
+    return correct.corpus(by_rank.select(F.lit("1980").alias("decade"), "name", "weight"), YEAR, True)
 
 
 @query(f"WITH {_WORDS}, {_CORPUS} SELECT name, weight, idx FROM first_")
@@ -354,6 +429,28 @@ def correct_full_name(spark, sf_dir):
     return correct.NameCorrector(_first(spark, sf_dir), _last(spark, sf_dir)).correct(each)
 
 
+def _rare(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Capitalised words that come once, as tokens, and a corpus of those that come again."""
+    all_ = shared.written(_capital(spark, sf_dir), "capital")
+    own = all_.where("n > 1").select(F.lit("1980").alias("decade"), "name", F.col("n").alias("weight"))
+    return all_.where("n = 1").select(F.col("name").alias("token")), correct.corpus(own, YEAR, False)
+
+
+_RARE = f"""WITH {_WORDS}, {_CORPUS}, tokens AS (SELECT name AS token FROM capital WHERE n = 1), own AS (SELECT name, n AS frequency, row_number() OVER (ORDER BY n DESC, name) - 1 AS idx FROM capital WHERE n > 1),
+    scored AS (SELECT token, name, idx, frequency, greatest(0.0, (1 - (levenshtein(token, name) + abs(length(token) - length(name))) / greatest(1, least(length(token), length(name)))) * 100) AS score FROM tokens, own)"""
+
+
+@query(f"{_RARE} SELECT token, CAST(rank AS INTEGER) AS rank, name, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY token ORDER BY score DESC, idx) AS rank FROM scored) WHERE rank <= 5")
+def fuzzy_topk_rare(spark, sf_dir):
+    """The same for thousands of tokens, none of which is in the corpus."""
+    return correct.top_matches(*_rare(spark, sf_dir)).select("token", "rank", "name", F.round("score", 6).alias("score"))
+
+
+@query(f"{_RARE} {_BEST}")
+def correct_rare(spark, sf_dir):
+    return correct.best_names(*_rare(spark, sf_dir), False)
+
+
 @query(f"SELECT DISTINCT name, {_norm('name')} AS corrected FROM (SELECT unnest(string_split(text, chr(10))) AS name FROM documents WHERE text IS NOT NULL)")
 def noop_corrector(spark, sf_dir):
     lines = _table(spark, sf_dir, "documents").where("text IS NOT NULL").select(F.explode(F.split("text", "\n")).alias("name")).distinct()
