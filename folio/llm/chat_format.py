@@ -8,7 +8,8 @@ a backslash is doubled, and a backslash goes after the first character of each c
 Defined cases: a null text or role is empty, a null turn comes first, all rows with a null conv_id are
 one conversation, an unknown role gets a mark with its name in hexadecimal, an empty table gives an
 empty result. Columns other than conv_id, turn, role and text are ignored. A conversation is the unit
-of the result (its text is one value), so the rows of one conversation meet in one task.
+of the result (its text is one value), so the rows of one conversation meet in one task; work there is in proportion to
+its turns and characters.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folio.llm.common import table
@@ -79,45 +80,32 @@ def format_conversations(rows: DataFrame, template: Template = Template()) -> Da
     formatted), valid (the machine accepts the roles) and first_bad (index of the first turn that it
     rejects; the number of turns if only the end is wrong; else null).
     """
-    turns = rows.select(
-        "conv_id", F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("t")
-    )
-    turns = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
     a, b, c = template.other
+    role = F.col("role")
     # The text between marks is escaped once; the segments are built from that.
-    marked = F.transform(
-        "turns",
-        lambda t: F.struct(
-            t["role"].alias("role"),
-            _by_role(template, t["role"], lambda m: F.lit(m[0]), F.concat(F.lit(a), F.hex(F.encode(t["role"], "UTF-8")), F.lit(b))).alias("open"),
-            escaped(t["text"], template).alias("text"),
-            _by_role(template, t["role"], lambda m: F.lit(m[1]), F.lit(c)).alias("close"),
-            _by_role(template, t["role"], lambda m: F.lit(m[2]), F.lit(False)).alias("loss"),
-        ),
-    )
-    turns = turns.select("conv_id", F.transform("turns", lambda t: t["role"]).alias("roles"), marked.alias("marked"))
-    sized = F.transform(
-        "marked",
-        lambda m: F.struct(
-            m["role"].alias("role"), m["open"].alias("open"), m["text"].alias("text"), m["close"].alias("close"), m["loss"].alias("loss"),
-            F.length(m["open"]).alias("n_open"), F.length(m["text"]).alias("n_text"), F.length(m["close"]).alias("n_close"),
-        ),
-    )
+    turns = rows.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("raw"))
+    turns = turns.select(
+        "*",
+        _by_role(template, role, lambda m: F.lit(m[0]), F.concat(F.lit(a), F.hex(F.encode(role, "UTF-8")), F.lit(b))).alias("open"),
+        escaped(F.col("raw"), template).alias("text"),
+        _by_role(template, role, lambda m: F.lit(m[1]), F.lit(c)).alias("close"),
+        _by_role(template, role, lambda m: F.lit(m[2]), F.lit(False)).alias("loss"),
+    ).withColumns({"n_open": F.length("open"), "n_text": F.length("text"), "n_close": F.length("close")})
+    # A turn begins where those before it end: a running sum, so the work is in proportion to the turns.
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "raw")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum(F.col("n_open") + F.col("n_text") + F.col("n_close")).over(before), F.lit(0)).cast("int")
+    placed = turns.withColumns({"at": F.row_number().over(order), "start": start})
+    turns = placed.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("at", "role", "open", "text", "close", "loss", "start", "n_open", "n_text", "n_close"))).alias("sized"))
+    turns = turns.withColumn("roles", F.transform("sized", lambda m: m["role"]))
     segment = lambda text, kind, role, loss, start, n: F.struct(text.alias("text"), F.lit(kind).alias("kind"), role.alias("role"), loss.alias("loss"), start.alias("start"), (start + n).alias("end"))
-    starts = F.aggregate(
-        "sized",
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all")),
-        lambda acc, m: F.struct((acc["at"] + m["n_open"] + m["n_text"] + m["n_close"]).alias("at"), F.concat(acc["all"], F.array(acc["at"])).alias("all")),
-        lambda acc: acc["all"],
-    )
     segments = F.flatten(
-        F.zip_with(
+        F.transform(
             "sized",
-            "starts",
-            lambda m, s: F.array(
-                segment(m["open"], "open", m["role"], F.lit(False), s, m["n_open"]),
-                segment(m["text"], "text", m["role"], m["loss"], s + m["n_open"], m["n_text"]),
-                segment(m["close"], "close", m["role"], F.lit(False), s + m["n_open"] + m["n_text"], m["n_close"]),
+            lambda m: F.array(
+                segment(m["open"], "open", m["role"], F.lit(False), m["start"], m["n_open"]),
+                segment(m["text"], "text", m["role"], m["loss"], m["start"] + m["n_open"], m["n_text"]),
+                segment(m["close"], "close", m["role"], F.lit(False), m["start"] + m["n_open"] + m["n_text"], m["n_close"]),
             ),
         )
     )
@@ -125,17 +113,13 @@ def format_conversations(rows: DataFrame, template: Template = Template()) -> Da
     steps = F.transform("roles", lambda r, i: F.concat(F.when(i > 0, F.element_at("roles", i)).otherwise(""), F.lit(">"), r))
     bad = F.array_position(F.transform(steps, lambda s: F.array_contains(allowed, s)), False)
     ends = F.element_at("roles", -1).isin(*template.final)
-    return (
-        turns.withColumn("sized", sized)
-        .withColumn("starts", starts)
-        .select(
-            "conv_id",
-            F.array_join(F.transform("sized", lambda m: F.concat(m["open"], m["text"], m["close"])), "").alias("formatted"),
-            segments.alias("segments"),
-            F.when(bad > 0, (bad - 1).cast("int")).when(~ends, F.size("roles")).alias("first_bad"),
-        )
-        .withColumn("valid", F.col("first_bad").isNull())
+    out = turns.select(
+        "conv_id",
+        F.array_join(F.transform("sized", lambda m: F.concat(m["open"], m["text"], m["close"])), "").alias("formatted"),
+        segments.alias("segments"),
+        F.when(bad > 0, (bad - 1).cast("int")).when(~ends, F.size("roles")).alias("first_bad"),
     )
+    return out.withColumn("valid", F.col("first_bad").isNull())
 
 
 def read_back(formatted: DataFrame, template: Template = Template()) -> DataFrame:
@@ -143,9 +127,6 @@ def read_back(formatted: DataFrame, template: Template = Template()) -> DataFram
     pattern = F.lit(template.turn_pattern())
     opened = {marks[0]: role for role, marks in template.marks.items()}
     role_of = lambda mark, name: F.coalesce(*[F.when(mark == m, F.lit(r)) for m, r in opened.items()], F.decode(F.unhex(name), "UTF-8"))
-    spans = F.transform(
-        F.filter("segments", lambda s: s["loss"]), lambda s: unescaped(F.substring(F.col("formatted"), s["start"] + 1, s["end"] - s["start"]))
-    )
     found = formatted.select(
         "*",
         F.regexp_extract_all("formatted", pattern, F.lit(1)).alias("_marks"),
@@ -153,7 +134,11 @@ def read_back(formatted: DataFrame, template: Template = Template()) -> DataFram
         F.regexp_extract_all("formatted", pattern, F.lit(3)).alias("_texts"),
     )
     zipped = F.zip_with(F.zip_with("_marks", "_names", lambda m, n: role_of(m, n)), "_texts", lambda r, t: F.struct(r.alias("role"), unescaped(t).alias("text")))
-    return found.select("conv_id", "formatted", zipped.alias("turns"), spans.alias("loss"))
+    found = found.withColumn("turns", zipped)
+    # The mask has a flag for each text, in the order in which the text has them.
+    flags = F.transform(F.filter("segments", lambda s: s["kind"] == "text"), lambda s: s["loss"])
+    masked = F.filter(F.zip_with("turns", flags, lambda t, f: F.struct(t["text"].alias("text"), f.alias("loss"))), lambda x: x["loss"])
+    return found.select("conv_id", "formatted", "turns", F.transform(masked, lambda x: x["text"]).alias("loss"))
 
 
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:

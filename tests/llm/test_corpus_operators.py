@@ -430,6 +430,17 @@ def test_chat_cases(spark):
     assert chat_format.format_conversations(df.limit(0)).count() == 0
 
 
+def test_chat_of_many_turns(spark):
+    """A conversation of 100,000 turns: places that are found turn by turn would take minutes here."""
+    df = spark.range(100_000).selectExpr("1L conv_id", "id turn", "IF(id % 2 = 0, 'user', 'assistant') role", "concat('turn \\\\ <s> ', id) text")
+    done = chat_format.format_conversations(df)
+    back = chat_format.read_back(done)
+    got = back.select(F.size("turns").alias("n"), F.size("loss").alias("k"), F.element_at("loss", -1).alias("last"), F.element_at("turns", 9).alias("ninth"), F.length("formatted").alias("size")).first()
+    assert (got.n, got.k, got.last, got.ninth.text) == (100_000, 50_000, "turn \\ <s> 99999", "turn \\ <s> 8")
+    ends = done.select(F.element_at("segments", -1).alias("s"), "valid").first()
+    assert ends.s.end == got.size and ends.valid
+
+
 # URLs
 
 URLS = [
