@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folio.operators import ocr
 from folio.operators.shared import written
+from folio.sources.ingest import PAGE_FILE
 from folio.sources.sinks import exists, to_tables
 
 SCHEMA = "page int, sum long, stage string, book string"
@@ -38,3 +40,15 @@ class Manifest:
 
     def commit(self, stage: str, done: DataFrame) -> None:
         to_tables(done.select("book", "page", "sum", F.lit(stage).alias("stage")), self.path, ["stage", "book"])
+
+
+def save_pages(spark: SparkSession, pages: DataFrame, path: str) -> DataFrame:
+    """Adds pages (book, page, value, name, modified) to the table of pages, which has one row for each book and page by the rule
+    of ocr.unique_pages, whatever came first; returns the books' rows as they are now. Other books are not read."""
+    new = pages.select("book", "page", "value", "name", "modified")
+    if exists(spark, path):
+        held = spark.read.schema(f"{PAGE_FILE}, copies long").parquet(path).drop("copies")
+        new = new.unionByName(held.join(new.select("book").distinct(), "book", "left_semi"))
+    merged = written(ocr.unique_pages(new), "saved-pages")
+    to_tables(merged, path)
+    return merged

@@ -14,7 +14,9 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 def spark(tmp_path_factory):
     shared = tmp_path_factory.mktemp("shared")
     path = os.environ.get("PYTHONPATH", "")
-    os.environ["PYTHONPATH"] = f"{os.path.dirname(os.path.dirname(os.path.abspath(__file__)))}:{path}"
+    here = os.path.dirname(os.path.abspath(__file__))
+    # Stand-ins for optional libraries are for the Python workers only.
+    os.environ["PYTHONPATH"] = f"{os.path.dirname(here)}:{path}:{here}/standins"
     session = (
         SparkSession.builder.master("local[4]")
         .config("spark.sql.shuffle.partitions", "4")
