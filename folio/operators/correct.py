@@ -33,6 +33,7 @@ def pick_decade(year: Column, decades: Column) -> Column:
 
 def corpus(names: DataFrame, year: int, rising: bool) -> DataFrame:
     """name, weight, idx of the decade that fits the year; names: decade, name, weight. rising: a small weight is best."""
+    names = written(names.select("decade", "name", "weight"), "names")
     decades = names.agg(F.array_sort(F.collect_set(F.col("decade").cast("int"))).alias("all"))
     chosen = decades.select(pick_decade(F.lit(year), F.col("all")).alias("d"))
     own = names.join(F.broadcast(chosen), F.col("decade").cast("int") == F.col("d")).select("name", "weight")
@@ -75,14 +76,15 @@ def _bound(size: Column, edits: int) -> Column:
     return (1 - F.lit(edits + 1) / size) * 100
 
 
-def _scored(pairs: DataFrame) -> DataFrame:
-    return pairs.withColumn("score", similarity(F.col("token"), F.col("name"))).where("score > 0")
+def _spread(words: DataFrame) -> DataFrame:
+    """Words on as many tasks as the cluster runs at once: each makes far more work than its bytes tell Spark."""
+    return words.repartition(words.sparkSession.sparkContext.defaultParallelism)
 
 
 def near(tokens: DataFrame, names: DataFrame, edits: int = EDITS) -> DataFrame:
     """token and the columns of names: every pair that takes up to so many edits, and some more; tokens up to LONGEST."""
-    left = tokens.where(F.length("token") <= LONGEST).select("token", F.explode(deletions(F.col("token"), edits)).alias("_key"))
-    right = names.where(F.length("name") <= LONGEST + edits).select(*names.columns, F.explode(deletions(F.col("name"), edits)).alias("_key"))
+    left = _spread(tokens).where(F.length("token") <= LONGEST).select("token", F.explode(deletions(F.col("token"), edits)).alias("_key"))
+    right = _spread(names).where(F.length("name") <= LONGEST + edits).select(*names.columns, F.explode(deletions(F.col("name"), edits)).alias("_key"))
     pairs = left.join(right, "_key").where(F.abs(F.length("token") - F.length("name")) <= edits)
     return pairs.drop("_key").distinct()
 
@@ -97,21 +99,24 @@ def _reachable(size: Column, score: Column) -> Column:
 def far(tokens: DataFrame, names: DataFrame) -> DataFrame:
     """token, the columns of names, score: every pair with a score over 0 and no less than floor; tokens: token, floor.
 
-    Pairs of the right lengths meet; the letters of both bound the score before the distance is computed.
+    Pairs of the right lengths meet; the letters of both bound the distance before it is computed.
     """
     parts = max(1, -(-names.count() // BROADCAST_ROWS))
     part = F.lit(0) if parts == 1 else F.pmod(F.xxhash64("name"), F.lit(parts)).cast("int")
     held = names.withColumns({"_size": F.length("name"), "_letters": _letters(F.col("name")), "_part": part})
-    asked = tokens.withColumns({"_own": _letters(F.col("token")), "_n": F.length("token")})
+    asked = _spread(tokens).withColumns({"_own": _letters(F.col("token")), "_n": F.length("token")})
     asked = asked.withColumn("_size", F.explode(_reachable(F.col("_n"), F.col("floor"))))
     asked = asked.withColumn("_part", F.lit(0) if parts == 1 else F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     pairs = asked.join(F.broadcast(held) if parts == 1 else held, ["_size", "_part"])
-    least = _at_least(F.col("_own"), F.col("_letters"))
-    best = (1 - (F.greatest(least, F.abs(F.col("_n") - F.col("_size"))) + F.abs(F.col("_n") - F.col("_size"))) / F.least("_n", "_size")) * 100
-    # The second condition has the distance; it is computed only where the first holds.
-    found = pairs.where((best > 0) & (best >= F.col("floor")))
-    found = _scored(found).where(F.col("score") >= F.col("floor"))
-    return found.select("token", *names.columns, "score")
+    apart, shorter = F.abs(F.col("_n") - F.col("_size")), F.least("_n", "_size")
+    # Edits that the floor allows, and those that the letters ask for. The distance is computed where the first are no fewer, and
+    # only as far as they go.
+    allowed = F.floor(shorter * (1 - F.col("floor") / 100) + 1e-9).cast("int") - apart
+    least = F.greatest(_at_least(F.col("_own"), F.col("_letters")), apart)
+    found = pairs.withColumns({"_apart": apart, "_shorter": shorter, "_allowed": allowed}).where(least <= F.col("_allowed"))
+    found = found.withColumn("_distance", F.expr("levenshtein(token, name, _allowed)")).where("_distance >= 0")
+    found = found.withColumn("score", (1 - (F.col("_distance") + F.col("_apart")) / F.col("_shorter")) * 100)
+    return found.select("token", *names.columns, "score").where("score > 0")
 
 
 def matches(tokens: DataFrame, names: DataFrame) -> DataFrame:
@@ -130,7 +135,7 @@ def contenders(tokens: DataFrame, names: DataFrame, k: int) -> DataFrame:
         found.append(written(same, "equal"))
         tokens = written(tokens.join(found[-1].select("token").distinct(), "token", "left_anti"), "tokens")
     if not tokens.isEmpty():
-        close = written(_scored(near(tokens, names)), "near")
+        close = written(near(tokens, names).withColumn("score", similarity(F.col("token"), F.col("name"))), "near").where("score > 0")
         # The k-th best score of each token, if it has so many; the rest of its names score no more than the bound.
         order = Window.partitionBy("token").orderBy(F.desc("score"))
         kth = close.withColumn("_r", F.row_number().over(order)).where(F.col("_r") == k).select("token", F.col("score").alias("floor"))

@@ -45,6 +45,12 @@ def released(spark: SparkSession) -> int:
     return gone
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt to as many tasks as the cluster runs at once, if it has fewer partitions: a few files that take long to work on."""
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks)
+
+
 def placed(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """df as a table, with _part and _row: sorted by ranges of the order, the range and the place of a row in it."""
     row = F.monotonically_increasing_id()  # the number of the task, shifted, and the place in it

@@ -25,7 +25,7 @@ def query(oracle: str | None = None):
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return shared.spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
