@@ -40,10 +40,11 @@ from folio.llm.common import batches_of, shared_folder, small_batches, table, te
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
-#: Pieces that a Python worker remembers; then it forgets them all.
-REMEMBERED = 400_000
+#: Pieces that a Python worker remembers; then it begins anew, and forgets those of before that do not come again meanwhile.
+REMEMBERED = 500_000
 #: The normalisers and the split for which white space and letters are borders.
 NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+END_OF_WORD = "</w>"
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Characters whose lower case, normal form and kind of white space are beyond doubt: the first 256 but for separators that
 #: only Python takes for white space, and the micro sign.
@@ -64,16 +65,36 @@ class Encoder:
         self.apart = (own.get("normalizer") or {}).get("normalizers") == NORMALIZERS and split[0].get("pattern") == {"Regex": SPLIT} and split[0].get("behavior") == "Removed"
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.kind = id_type(path, end)
+        vocabulary = self.tokenizer.get_vocab()
+        self.apart = self.apart and own["model"].get("end_of_word_suffix") == END_OF_WORD
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(END_OF_WORD)]] = True
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def _encode(self, all_: list[str]) -> list[bytes]:
         return [array(self.kind, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(all_, add_special_tokens=False)]
 
-    def _learn(self, new: list[str]) -> None:
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Words of letters in one call: the last token of each is one that ends a word."""
+        if not words:
+            return []
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, self.kind)
+        ends = (np.flatnonzero(self.ends[ids]) + 1) * ids.itemsize
+        if len(ends) != len(words):
+            return self._encode(words)
+        data, ends = ids.tobytes(), ends.tolist()
+        return [data[x:y] for x, y in zip([0, *ends], ends)]
+
+    def _learn(self, new: set[str]) -> None:
         """Remembers pieces without white space; one without an apostrophe is put together from its runs of letters and of other signs."""
-        parts = {p: [p] if "'" in p else PIECES.findall(p) for p in new}
-        runs = list({r for own in parts.values() for r in own}.difference(self.known))
-        self.known.update(zip(runs, self._encode(runs), strict=True))
+        words = {p for p in new if p.isalpha()}
+        parts = {p: [p] if "'" in p else PIECES.findall(p) for p in new.difference(words)}
+        runs = {r for own in parts.values() for r in own}.difference(self.known)
+        alone = [r for r in runs if not r.isalpha()]
+        words = list(words.union(runs.difference(alone)))
+        self.known.update(zip(words, self._encode_words(words), strict=True))
+        self.known.update(zip(alone, self._encode(alone), strict=True))
         for p, own in parts.items():
             if len(own) > 1:
                 self.known[p] = b"".join([self.known[r] for r in own])
@@ -81,9 +102,12 @@ class Encoder:
     def of(self, texts_: list[str]) -> list[bytes]:
         sure = [self.apart and SURE.fullmatch(t) is not None and not any(a in t for a in self.added) for t in texts_]
         parts = [t.lower().split() if s else [] for t, s in zip(texts_, sure, strict=True)]
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        self._learn(list(set().union(*parts).difference(self.known)))
+        if len(self.known) > REMEMBERED:  # what is asked for again stays
+            self.before, self.known = self.known, {}
+        new = set().union(*parts).difference(self.known)
+        again = new.intersection(self.before)
+        self.known.update({p: self.before[p] for p in again})
+        self._learn(new.difference(again))
         whole = iter(self._encode([t for t, s in zip(texts_, sure, strict=True) if not s]))
         return [b"".join(map(self.known.__getitem__, p)) if s else next(whole) for p, s in zip(parts, sure, strict=True)]
 
