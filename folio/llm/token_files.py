@@ -49,6 +49,9 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Characters whose lower case, normal form and kind of white space are beyond doubt: the first 256 but for separators that
 #: only Python takes for white space, and the micro sign.
 SURE = re.compile("[\x00-\x1b\x20-\xb4\xb6-\xff]*")
+SEPARATORS = "\x1c\x1d\x1e\x1f"
+#: Texts whose pieces are looked up together.
+SLICE = 32
 LETTERS = "a-zªºß-öø-ÿ"
 PIECES = re.compile(f"[{LETTERS}]+|[^{LETTERS}]+")
 
@@ -86,8 +89,11 @@ class Encoder:
         data, ends = ids.tobytes(), ends.tolist()
         return [data[x:y] for x, y in zip([0, *ends], ends)]
 
-    def _learn(self, new: set[str]) -> None:
+    def _learn(self, new: list[str]) -> None:
         """Remembers pieces without white space; one without an apostrophe is put together from its runs of letters and of other signs."""
+        again = [p for p in new if p in self.before]
+        self.known.update({p: self.before[p] for p in again})
+        new = set(new).difference(again)
         words = {p for p in new if p.isalpha()}
         parts = {p: [p] if "'" in p else PIECES.findall(p) for p in new.difference(words)}
         runs = {r for own in parts.values() for r in own}.difference(self.known)
@@ -99,17 +105,27 @@ class Encoder:
             if len(own) > 1:
                 self.known[p] = b"".join([self.known[r] for r in own])
 
+    def _is_sure(self, text: str) -> bool:
+        if not self.apart or any(a in text for a in self.added):
+            return False
+        return not any(c in text for c in SEPARATORS) if text.isascii() else SURE.fullmatch(text) is not None
+
     def of(self, texts_: list[str]) -> list[bytes]:
-        sure = [self.apart and SURE.fullmatch(t) is not None and not any(a in t for a in self.added) for t in texts_]
-        parts = [t.lower().split() if s else [] for t, s in zip(texts_, sure, strict=True)]
-        if len(self.known) > REMEMBERED:  # what is asked for again stays
-            self.before, self.known = self.known, {}
-        new = set().union(*parts).difference(self.known)
-        again = new.intersection(self.before)
-        self.known.update({p: self.before[p] for p in again})
-        self._learn(new.difference(again))
+        sure = [self._is_sure(t) for t in texts_]
         whole = iter(self._encode([t for t, s in zip(texts_, sure, strict=True) if not s]))
-        return [b"".join(map(self.known.__getitem__, p)) if s else next(whole) for p, s in zip(parts, sure, strict=True)]
+        out = []
+        for at in range(0, len(texts_), SLICE):
+            parts = [t.lower().split() if s else [] for t, s in zip(texts_[at : at + SLICE], sure[at : at + SLICE], strict=True)]
+            if len(self.known) > REMEMBERED:  # what is asked for again stays
+                self.before, self.known = self.known, {}
+            # The pieces of a few texts fit the processor's cache, all that is remembered does not.
+            pieces = set().union(*parts)
+            ids = dict(zip(pieces, map(self.known.get, pieces), strict=True))
+            if new := [p for p, x in ids.items() if x is None]:
+                self._learn(new)
+                ids.update(zip(new, map(self.known.__getitem__, new), strict=True))
+            out += [b"".join(map(ids.__getitem__, p)) if s else next(whole) for p, s in zip(parts, sure[at : at + SLICE], strict=True)]
+        return out
 
 
 @lru_cache(maxsize=4)
