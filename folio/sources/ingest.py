@@ -98,7 +98,8 @@ def page_ranges(files: DataFrame, pages: int = PAGES_AT_ONCE) -> DataFrame:
 
 
 def rendered(files: DataFrame, dpi: int = 300, kind: str = "jpg", quality: int = 95, pages: int = PAGES_AT_ONCE) -> DataFrame:
-    """A row for each page of each file; a file that fails has one row with its error, and no other suffers.
+    """A row for each page of each file. A page that fails has a row with its error, a file that cannot be opened one in all,
+    and no other suffers.
 
     Files are cut into ranges of pages, which are dealt to tasks, so a long file is not one task.
     """
@@ -111,18 +112,19 @@ def rendered(files: DataFrame, dpi: int = 300, kind: str = "jpg", quality: int =
             pixels = page.get_pixmap(matrix=fitz.Matrix(scale_of(dpi), scale_of(dpi)), colorspace=space, alpha=False)
             return Image.frombytes(mode, (pixels.width, pixels.height), pixels.samples)
 
+        def one(book, k, page):
+            try:
+                rgb, gray = image(page, fitz.csRGB, "RGB"), image(page, fitz.csGRAY, "L")
+                return (book, k, rgb.width, rgb.height, encode_image(rgb, kind, quality), encode_image(gray, kind, quality), None)
+            except Exception as e:  # a page can be broken in any way
+                return (book, k, None, None, None, None, f"{type(e).__name__}: {e}")
+
         for batch in batches:
             for book, first, content, error in zip(batch["book"], batch["first"], batch["content"], batch["error"], strict=True):
                 rows = [(book, None, None, None, None, None, error)]
                 if content is not None:
-                    try:
-                        with fitz.open(stream=content, filetype="pdf") as pdf:
-                            rows = []
-                            for k, page in enumerate(pdf, int(first)):
-                                rgb, gray = image(page, fitz.csRGB, "RGB"), image(page, fitz.csGRAY, "L")
-                                rows.append((book, k, rgb.width, rgb.height, encode_image(rgb, kind, quality), encode_image(gray, kind, quality), None))
-                    except Exception as e:  # a page can be broken in any way
-                        rows = [(book, None, None, None, None, None, f"{type(e).__name__}: {e}")]
+                    with fitz.open(stream=content, filetype="pdf") as pdf:
+                        rows = [one(book, k, page) for k, page in enumerate(pdf, int(first))]
                 yield pd.DataFrame(rows, columns=["book", "page", "width", "height", "rgb", "gray", "error"])
 
     parts = page_ranges(files, pages)

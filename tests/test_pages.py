@@ -229,16 +229,14 @@ def test_pages_are_rendered_in_ranges(spark):
     images, seen = ingest.counted(ingest.rendered(df, 144, "jpg", 90, 2))
     rows = images.collect()
     by = {(r.book, r.page): r for r in rows if r.error is None}
-    assert sorted(by) == [("long", k) for k in sorted(range(1, 121))] + [("part", 1), ("part", 2)]
+    assert sorted(by) == [("long", k) for k in sorted(range(1, 121))] + [("part", 1), ("part", 2), ("part", 4)]
     one = by["long", 77]
     assert (one.width, one.height) == (20, 40) and json.loads(one.rgb) == {"format": "JPEG", "mode": "RGB", "text": "p77" * 3, "optimize": True, "progressive": False, "quality": 90}
     assert json.loads(one.gray)["text"] == "p77"
-    assert sorted((r.book, r.error) for r in rows if r.error) == [("bad", "ValueError: no PDF"), ("part", "ValueError: broken page")]
+    assert sorted((r.book, r.page, r.error) for r in rows if r.error) == [("bad", None, "ValueError: no PDF"), ("part", 3, "ValueError: broken page")]
     # What was counted on the way is what a count of the result says.
     assert seen.get == {"have_rgb": len(by), "have_gray": len(by), "failed": 2}
-    png = ingest.rendered(df.where("book = 'part'"), kind="PNG").where("page = 1")
-    assert png.count() == 0  # the range has a broken page
-    assert json.loads(ingest.rendered(df.where("book = 'part'"), kind="tiff", pages=1).where("page = 1").first().rgb) == {"format": "PNG", "mode": "RGB", "text": "aaa", "optimize": True}
+    assert json.loads(ingest.rendered(df.where("book = 'part'"), kind="tiff").where("page = 1").first().rgb) == {"format": "PNG", "mode": "RGB", "text": "aaa", "optimize": True}
 
 
 def test_images_are_read_in_batches(spark):
