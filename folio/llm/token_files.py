@@ -5,7 +5,8 @@ little-endian numbers: <name>.ids, the ids of all its documents without anything
 vocabulary allows, else 32); <name>.offsets, for each document the number of ids before it in the file, and the number of all at
 the end (64 bits); <name>.docs, the doc_ids (64 bits, signed). A manifest has one row for each task that succeeded: where a
 task ran twice, or lost its executor, only files that the manifest names count. Bases, the ids and documents in
-the files before, are prefix sums over the manifest, which is a table beside the files.
+the files before, are prefix sums over the manifest, which is a table beside the files. The folder is a path or URI that
+pyarrow's file systems know, as tasks write files there that Spark has no writer for.
 
 Defined cases: a null or empty text is one end id; a null doc_id comes first (the manifest counts them, and their place in .docs
 is 0); rows of one doc_id are ordered by a hash of their text, repeated rows come each, and both may spread over
