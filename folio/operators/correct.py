@@ -19,8 +19,12 @@ from folio.functions.text import SUFFIXES, corpus_key, normalize_space, similari
 from folio.operators.names import Recognizer, first_person
 from folio.operators.shared import ranked, written
 
-#: Names of a corpus that are sent to all executors at once; of a larger one each token meets several parts.
+#: Names of a part of a corpus at most, which a task holds at once; none are sent to all executors.
 BROADCAST_ROWS = 200_000
+#: Pairs of a cell of the grid in which tokens meet names, cells for each core, and how many lengths of names a token asks for.
+CELL, WAVES, COPIES = 50_000_000, 4, 8
+#: One name in so many gives the first floors of what the index leaves open, then better ones.
+SHARES = (64, 8)
 #: Deletions by which names are found in the index, and the longest tokens that are looked up there.
 EDITS, LONGEST = 2, 20
 
@@ -82,11 +86,16 @@ def _spread(words: DataFrame) -> DataFrame:
 
 
 def near(tokens: DataFrame, names: DataFrame, edits: int = EDITS) -> DataFrame:
-    """token and the columns of names: every pair that takes up to so many edits, and some more; tokens up to LONGEST."""
-    left = _spread(tokens).where(F.length("token") <= LONGEST).select("token", F.explode(deletions(F.col("token"), edits)).alias("_key"))
-    right = _spread(names).where(F.length("name") <= LONGEST + edits).select(*names.columns, F.explode(deletions(F.col("name"), edits)).alias("_key"))
-    pairs = left.join(right, "_key").where(F.abs(F.length("token") - F.length("name")) <= edits)
-    return pairs.drop("_key").distinct()
+    """token and the columns of names: every pair that takes up to so many edits, and some more; tokens up to LONGEST.
+
+    The index has many rows for each word, which Spark does not see before it runs, so neither side may be sent to all executors.
+    """
+    left = _spread(tokens).where(F.length("token") <= LONGEST).withColumn("_own", _letters(F.col("token")))
+    left = left.select("token", "_own", F.explode(deletions(F.col("token"), edits)).alias("_key"))
+    right = _spread(names).where(F.length("name") <= LONGEST + edits).withColumn("_letters", _letters(F.col("name")))
+    right = right.select(*names.columns, "_letters", F.explode(deletions(F.col("name"), edits)).alias("_key"))
+    pairs = left.join(right.hint("merge"), "_key").where(F.abs(F.length("token") - F.length("name")) <= edits)
+    return pairs.where(_at_least(F.col("_own"), F.col("_letters")) <= edits).select("token", *names.columns).distinct()
 
 
 def _reachable(size: Column, score: Column) -> Column:
@@ -96,18 +105,30 @@ def _reachable(size: Column, score: Column) -> Column:
     return F.sequence(F.greatest(least, F.lit(1)).cast("int"), F.ceil(size + size * room / 2 + 1e-9).cast("int"))
 
 
+def _grid(tokens: int, names: int, cores: int) -> tuple[int, int]:
+    """Into how many parts tokens and names are dealt: at least WAVES cells for each core, of CELL pairs at most, with few copied rows."""
+    cells = max(WAVES * cores, -(-tokens * names // CELL))
+    own = min(cells, max(1, round((COPIES * tokens * cells / max(1, names)) ** 0.5)))
+    return own, max(-(-cells // own), -(-names // BROADCAST_ROWS))
+
+
 def far(tokens: DataFrame, names: DataFrame) -> DataFrame:
     """token, the columns of names, score: every pair with a score over 0 and no less than floor; tokens: token, floor.
 
-    Pairs of the right lengths meet; the letters of both bound the distance before it is computed.
+    Each part of the tokens meets each part of the names in a cell, which has one task for the names of a length: its names are
+    held, its tokens pass. Pairs of the right lengths meet; the letters of both bound the distance before it is computed.
     """
-    parts = max(1, -(-names.count() // BROADCAST_ROWS))
-    part = F.lit(0) if parts == 1 else F.pmod(F.xxhash64("name"), F.lit(parts)).cast("int")
-    held = names.withColumns({"_size": F.length("name"), "_letters": _letters(F.col("name")), "_part": part})
-    asked = _spread(tokens).withColumns({"_own": _letters(F.col("token")), "_n": F.length("token")})
-    asked = asked.withColumn("_size", F.explode(_reachable(F.col("_n"), F.col("floor"))))
-    asked = asked.withColumn("_part", F.lit(0) if parts == 1 else F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    pairs = asked.join(F.broadcast(held) if parts == 1 else held, ["_size", "_part"])
+    cores = tokens.sparkSession.sparkContext.defaultParallelism
+    own, parts = _grid(tokens.count(), names.count(), cores)
+    dealt = lambda word, n: F.pmod(F.xxhash64(word), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    held = names.withColumns({"_size": F.length("name"), "_letters": _letters(F.col("name")), "_part": dealt("name", parts)}).withColumn("_group", every(own))
+    asked = tokens.withColumns({"_own": _letters(F.col("token")), "_n": F.length("token"), "_group": dealt("token", own)})
+    asked = asked.withColumn("_size", F.explode(_reachable(F.col("_n"), F.col("floor")))).withColumn("_part", every(parts))
+    # A number of partitions that is asked for is not made smaller for the few bytes that these rows have.
+    keys = ["_size", "_part", "_group"]
+    asked, held = asked.repartition(own * parts, *keys), held.repartition(own * parts, *keys)
+    pairs = asked.join(held.hint("shuffle_hash"), keys)
     apart, shorter = F.abs(F.col("_n") - F.col("_size")), F.least("_n", "_size")
     # Edits that the floor allows, and those that the letters ask for. The distance is computed where the first are no fewer, and
     # only as far as they go.
@@ -121,8 +142,29 @@ def far(tokens: DataFrame, names: DataFrame) -> DataFrame:
 
 def matches(tokens: DataFrame, names: DataFrame) -> DataFrame:
     """token, name, weight, idx, score of all pairs with a score over 0; tokens: distinct token."""
-    asked = tokens.where("length(token) > 0").select("token", F.lit(0.0).alias("floor"))
-    return far(asked, names.select("name", "weight", "idx"))
+    asked = written(tokens.where("length(token) > 0").select("token", F.lit(0.0).alias("floor")), "asked")
+    return far(asked, written(names.select("name", "weight", "idx"), "corpus"))
+
+
+def _kth(scored: DataFrame, k: int) -> DataFrame:
+    """token and floor, its k-th best score, of those that have so many."""
+    if k == 1:
+        return scored.groupBy("token").agg(F.max("score").alias("floor"))
+    order = Window.partitionBy("token").orderBy(F.desc("score"))
+    return scored.select("token", "score", F.row_number().over(order).alias("_r")).where(F.col("_r") == k).select("token", F.col("score").alias("floor"))
+
+
+def raised(tokens: DataFrame, names: DataFrame, k: int) -> DataFrame:
+    """token and floor with higher floors: of any part of the names the k-th best score is one that k of all names reach.
+
+    Only the bound comes from a part; far() then meets all names, and computes and returns far fewer distances.
+    """
+    for share in SHARES:
+        some = names.where(F.pmod(F.xxhash64("name", F.lit(share)), F.lit(share)) == 0)
+        best = _kth(far(tokens, some), k).withColumnRenamed("floor", "_more")
+        both = tokens.join(best, "token", "left")
+        tokens = written(both.select("token", F.greatest("floor", F.coalesce("_more", F.lit(0.0))).alias("floor")), "floors")
+    return tokens
 
 
 def contenders(tokens: DataFrame, names: DataFrame, k: int) -> DataFrame:
@@ -137,16 +179,15 @@ def contenders(tokens: DataFrame, names: DataFrame, k: int) -> DataFrame:
     if not tokens.isEmpty():
         close = written(near(tokens, names).withColumn("score", similarity(F.col("token"), F.col("name"))), "near").where("score > 0")
         # The k-th best score of each token, if it has so many; the rest of its names score no more than the bound.
-        order = Window.partitionBy("token").orderBy(F.desc("score"))
-        kth = close.withColumn("_r", F.row_number().over(order)).where(F.col("_r") == k).select("token", F.col("score").alias("floor"))
-        both = tokens.join(kth, "token", "left").withColumn("floor", F.coalesce("floor", F.lit(0.0)))
+        both = tokens.join(_kth(close, k), "token", "left").withColumn("floor", F.coalesce("floor", F.lit(0.0)))
         bound = F.when(F.length("token") <= LONGEST, _bound(F.length("token"), EDITS)).otherwise(F.lit(100.0))
         settled = (F.col("floor") > bound) | (bound <= 0)
         both = written(both.withColumn("settled", settled), "settled")
         found.append(close.join(both.where("settled").select("token"), "token"))
         open_ = both.where("NOT settled").select("token", "floor")
         if not open_.isEmpty():
-            found.append(far(open_, names))
+            held = written(names, "corpus")
+            found.append(far(raised(open_, held, k), held))
     if not found:
         return tokens.join(names, F.lit(False)).withColumn("score", F.lit(0.0))
     out = found[0]

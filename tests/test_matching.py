@@ -94,6 +94,17 @@ def test_few_candidates_are_compared(spark, matched):
     assert sum(r.least + abs(len(r.token) - len(r.name)) <= min(len(r.token), len(r.name)) / 2 for r in bounds) < every / 4
 
 
+def test_index_is_not_sent_to_all_executors(spark, matched):
+    """A few bytes of words make an index of many rows: it may not be built in the driver."""
+    (tokens, names), _ = matched
+    some = shared.written(tokens.where("length(token) > 0").distinct(), "t"), shared.written(names, "n")
+    close = correct.near(*some)
+    assert close.count() > 0
+    close.collect()
+    plan = close._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_no_names_and_no_tokens(spark):
     tokens = spark.createDataFrame([("abc",)], "token string")
     names = spark.createDataFrame([], "name string, weight int, idx int")
