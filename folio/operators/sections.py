@@ -73,15 +73,17 @@ def _in_ranges(rows: DataFrame) -> DataFrame:
     return out.select(*rows.columns, (F.col("_own") + F.col("_base")).cast("int").alias("marker"), "headed")
 
 
-def filled(blocks: DataFrame, book_pages: DataFrame | None = None, giant: int | None = None) -> DataFrame:
+def filled(blocks: DataFrame, book_pages: DataFrame | None = None, giant: int | None = None, strict_zero_bounds: bool = False) -> DataFrame:
     """book, page, y, pos, kind, text, marker (the last one at or before the row, from 1; 0 before the first), headed (the book has one)."""
     rows = tagged(blocks, book_pages)
+    in_books = lambda own: _open_in_books(_in_books(own)) if strict_zero_bounds else _in_books(own)
     large = written(giants(blocks, GIANT if giant is None else giant), "giants")  # at most a row for each GIANT blocks
     if large.isEmpty():
-        return _in_books(rows)
+        return in_books(rows)
     large = F.broadcast(large.withColumnRenamed("book", "_book"))
     same = F.col("book").eqNullSafe(F.col("_book"))
-    return _in_books(rows.join(large, same, "left_anti")).unionByName(_in_ranges(rows.join(large, same, "left_semi")))
+    ranges = _in_ranges(rows.join(large, same, "left_semi"))
+    return in_books(rows.join(large, same, "left_anti")).unionByName(ranges.unionByName(_open(ranges)) if strict_zero_bounds else ranges)
 
 
 def markers(blocks: DataFrame) -> DataFrame:
@@ -112,10 +114,23 @@ def _open(rows: DataFrame) -> DataFrame:
     return again.withColumn("marker", F.col("_marker")).select(*rows.columns)
 
 
+def _open_in_books(rows: DataFrame) -> DataFrame:
+    """rows and what _open() adds to them, from one pass: a window by page, for which rows of a book lie and are sorted already.
+
+    A marker before one at height 0 of its page is at height 0 or less, so only such markers of a page are collected.
+    """
+    low = F.when((F.col("kind") == MARKER) & (F.col("y") <= 0), F.struct("marker", "y"))
+    found = rows.withColumn("_low", F.sort_array(F.collect_list(low).over(Window.partitionBy("book", "page"))))
+    next_ = F.slice("_low", 2, F.greatest(F.size("_low") - 1, F.lit(0)))
+    ends = F.zip_with("_low", next_, lambda m, n: F.when((n["y"] == 0) & (F.col("y") >= m["y"]) & (m["marker"] != F.col("marker")), m["marker"]))
+    again = F.when((F.col("kind") == TEXT) & F.col("page").isNotNull() & (F.size("_low") > 1), F.filter(ends, lambda m: m.isNotNull()))
+    every = F.concat(F.array("marker"), F.coalesce(again, F.array().cast("array<int>")))
+    return found.withColumn("marker", F.explode(every)).select(*rows.columns)
+
+
 def rows_of(blocks: DataFrame, strict_zero_bounds: bool = False, book_pages: DataFrame | None = None, giant: int | None = None) -> DataFrame:
     """filled(); strict_zero_bounds adds, to sections that a marker at height 0 of their page does not end, the rest of that page."""
-    rows = filled(blocks, book_pages, giant)
-    return rows.unionByName(_open(rows)) if strict_zero_bounds else rows
+    return filled(blocks, book_pages, giant, strict_zero_bounds)
 
 
 def assigned(blocks: DataFrame, strict_zero_bounds: bool = False, giant: int | None = None) -> DataFrame:

@@ -167,3 +167,16 @@ def test_arriving_pages(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.table("arrived").count() == 3
+
+
+def test_zero_bounds_in_one_pass(spark, tmp_path):
+    """Books in a window against books in ranges, and the blocks are read once for both kinds of sections."""
+    rng = random.Random(17)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([1, 2, 3, None]), i, rng.choice([-1.0, 0.0, 0.0, 1.0, 2.0, None]), rng.choice(["header", "text", "text"]), f"t{i}") for i in range(400)]
+    block(spark, rows).write.parquet(f"{tmp_path}/b")
+    blocks = spark.read.parquet(f"{tmp_path}/b")
+    one = sections.assigned(blocks, True)
+    found = sorted(map(str, one.collect()))
+    assert found == sorted(map(str, sections.assigned(blocks, True, giant=1).collect()))
+    assert len(found) > sections.assigned(blocks).count()
+    assert one._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
