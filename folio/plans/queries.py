@@ -118,8 +118,11 @@ def candidate_chunks(spark, sf_dir):
 
 def _pairs(spark, sf_dir) -> DataFrame:
     """Distinct words made of two ASCII words that follow each other, both with a capital."""
-    next_ = F.lead("word").over(Window.partitionBy("doc_id").orderBy("pos"))
-    both = adapters.words(_table(spark, sf_dir, "documents")).select("word", next_.alias("after"))
+    own = adapters.words_of(F.col("text"))
+    after = lambda w: F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0)))
+    # Both words are in the same text, so no text is shuffled and no rows are sorted; the last word meets nothing.
+    texts = _table(spark, sf_dir, "documents").select(own.alias("own"))
+    both = texts.select(F.explode(F.arrays_zip(F.col("own").alias("word"), after(F.col("own")).alias("after"))).alias("p")).select("p.word", "p.after")
     both = both.where(F.col("word").rlike("^[A-Za-z]+$") & F.col("after").rlike("^[A-Za-z]+$"))
     return both.select(F.concat(F.initcap("word"), F.initcap("after")).alias("word")).distinct()
 

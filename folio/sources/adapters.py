@@ -46,6 +46,11 @@ def from_pages(pages: DataFrame) -> DataFrame:
     return rows.select(*_block(label, F.lit(1), F.col("pos") + 1))
 
 
+def words_of(text: Column) -> Column:
+    """The words between spaces of a text, line breaks counting as spaces."""
+    return F.filter(F.split(F.translate(text, "\n", " "), " "), lambda w: w != "")
+
+
 def words(docs: DataFrame) -> DataFrame:
     """doc_id, pos and word between spaces of each text, line breaks counting as spaces."""
     split = F.split(F.translate("text", "\n", " "), " ")

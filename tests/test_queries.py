@@ -24,3 +24,8 @@ def test_entry(spark):
 
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_pairs_of_words_need_no_window(spark):
+    plan = QUERIES["split_joined_caps"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.count("Exchange hashpartitioning") == 1
