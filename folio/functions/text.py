@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: The characters that count as white space.
 SPACE = r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: White space that is not one space alone: a run that begins with another character, or that has more than one.
+_RUNS = rf"{SPACE.replace(chr(92) + 'x20', chr(92) + 'x1f')}{SPACE}*| {SPACE}+"
 #: Digits, among them superscript, subscript and circled ones.
 DIGIT = r"[\p{Nd}²³¹⁰⁴-⁹₀-₉①-⑨]"
 #: Punctuation stripped from both ends of a name.
@@ -21,12 +23,17 @@ SUFFIXES = ("jr", "sr", "ii", "iii", "iv", "v")
 
 def normalize_space(text: Column) -> Column:
     """Null is empty; runs of white space are one space; none at the ends."""
-    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), SPACE + "+", " "))
+    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), _RUNS, " "))
+
+
+def _once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value), with a value that is computed once however often f names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
 def chunks(text: Column) -> Column:
     """The non-empty pieces between full stops and commas, normalised, in order, duplicates kept."""
-    return F.filter(F.transform(F.split(normalize_space(text), "[.,]+"), normalize_space), lambda c: c != "")
+    return F.filter(F.transform(F.split(normalize_space(text), "[.,]+"), lambda c: F.trim(c)), lambda c: c != "")
 
 
 def is_upper(text: Column) -> Column:
@@ -63,10 +70,11 @@ def split_joined_capitals(text: Column) -> Column:
 def clean_name(text: Column, stopwords: tuple[str, ...] = ()) -> Column:
     """Normalised, stripped of edge punctuation, capitals turned to title case; null if a token is short, has a digit or is a stopword."""
     stripped = F.btrim(normalize_space(text), F.lit(EDGES))
-    cased = F.when(is_upper(stripped), title(stripped)).otherwise(stripped)
-    tokens = F.filter(F.split(normalize_space(cased), " "), lambda t: t != "")
-    bad = F.exists(tokens, lambda t: (F.length(t) < 2) | t.rlike(DIGIT) | (t.isin(*stopwords) if stopwords else F.lit(False)))
-    return F.when((F.size(tokens) > 0) & ~bad, F.array_join(tokens, " "))
+    cased = _once(stripped, lambda s: F.when(is_upper(s), title(s)).otherwise(s))
+    # Of white space only single spaces are left here.
+    tokens = F.filter(F.split(cased, " "), lambda t: t != "")
+    bad = lambda t: (F.length(t) < 2) | t.rlike(DIGIT) | (t.isin(*stopwords) if stopwords else F.lit(False))
+    return _once(tokens, lambda own: F.when((F.size(own) > 0) & ~F.exists(own, bad), F.array_join(own, " ")))
 
 
 def corpus_key(token: Column) -> Column:

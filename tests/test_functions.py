@@ -135,3 +135,17 @@ def test_correctors(spark, tmp_path):
     given = ["jhon smth jr", "Mary 99 Lee", "J. Lee", "", "99"]
     found = c.correct(spark.createDataFrame([(n,) for n in given], "name string"))
     assert {r.name: r.corrected for r in found.collect()} == {"jhon smth jr": "John Smith, Jr", "Mary 99 Lee": "Mary Lee", "J. Lee": "John Lee", "": "", "99": "99"}
+
+
+def test_clean_name_computes_each_step_once(spark):
+    assert spark.range(1).select(fn.clean_name(F.lit("a b")).alias("n"))._jdf.queryExecution().analyzed().toString().count("regexp_replace") == 1
+    r = random.Random(8)
+    values = ["".join(r.choice(["ab", "C", "DE", " ", "\t", "\u3000", ".", "(", ")", "é", "1"]) for _ in range(r.randint(0, 9))) for _ in range(400)]
+
+    def naive(v):
+        s = " ".join(v.split()).strip(fn.EDGES)
+        own = (s.title() if s.isupper() else s).split()
+        return " ".join(own) if own and not any(len(t) < 2 or "1" in t for t in own) else None
+
+    assert column(spark, values, fn.clean_name) == [naive(v) for v in values]
+    assert column(spark, values, fn.chunks) == [[c for c in (" ".join(p.split()) for p in re.split("[.,]+", v)) if c] for v in values]
