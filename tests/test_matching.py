@@ -141,3 +141,17 @@ def test_corpus_without_a_window(spark):
 def test_tables_can_be_released(spark):
     path = shared.written(spark.range(3), "x").inputFiles()[0].rpartition("/")[0]
     assert shared.released(spark) >= 1 and not shared.delete(spark, path) and shared.released(spark) == 0
+
+
+def test_floors_keep_pairs_few(spark, matched):
+    """What the index leaves open has a floor before it meets all names, so its pairs do not grow with the names."""
+    (tokens, names), scores = matched
+    for k in (1, 5):
+        found = correct.contenders(tokens, names, k).groupBy("token").agg(F.count("*").alias("n"), F.min("score").alias("least")).collect()
+        best = {t: sorted((s for s, *_ in own), reverse=True) for t, own in scores.items()}
+        assert all(r.n >= min(k, sum(s > 1e-9 for s in best[r.token])) for r in found)
+    open_ = tokens.where("length(token) > 0").distinct().select("token", F.lit(0.0).alias("floor"))
+    for k in (1, 5):
+        floors = {r.token: r.floor for r in correct.raised(open_, names, k).collect()}
+        assert set(floors) == set(scores) and sum(f > 0 for f in floors.values()) > len(floors) / 2
+        assert all(f <= max(0.0, sorted((s for s, *_ in scores[t]), reverse=True)[k - 1]) + 1e-6 for t, f in floors.items())
