@@ -143,6 +143,17 @@ def test_tables_can_be_released(spark):
     assert shared.released(spark) >= 1 and not shared.delete(spark, path) and shared.released(spark) == 0
 
 
+def test_all_pairs_are_dealt_over_cells(spark, matched):
+    """Names of few bytes make long work: they are held in parts, and the number of tasks does not follow the bytes."""
+    (tokens, names), _ = matched
+    pairs = correct.matches(tokens.distinct(), names)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and plan.count("REPARTITION_BY_NUM") == 2
+    for t, n in ((0, 0), (1, 1), (100, 500_000), (100_000, 250_000), (1_000_000, 1_000_000)):
+        own, parts = correct._grid(t, n, 12)
+        assert own * parts >= 48 and t * n / (own * parts) <= correct.CELL and n / parts <= correct.BROADCAST_ROWS
+
+
 def test_floors_keep_pairs_few(spark, matched):
     """What the index leaves open has a floor before it meets all names, so its pairs do not grow with the names."""
     (tokens, names), scores = matched
