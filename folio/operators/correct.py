@@ -4,7 +4,8 @@ Similarity is 100 (1 - (distance + difference of lengths) / shorter length), so
 more than e edits scores at most 100 (1 - (e + 1) / n). Matching uses this bound in steps, each for the tokens that the
 one before has left open: equal names; names that share a string left after up to EDITS deletions on both sides; and, for tokens
 whose k-th best score is not above the bound then, names of the lengths that can still reach that score, of which only those
-are compared whose letters allow it.
+are compared whose letters allow it. That last step looks at all pairs of such lengths, but by a few operations on arrays of numbers;
+it first meets the names of a token's own length, whose k-th best score is the floor for all others.
 
 Defined cases: null and empty tokens match nothing; a token like no name gets what the functions say; a corpus may be empty;
 repeated tokens are one; names that repeat in a corpus are rows each.
@@ -12,6 +13,8 @@ repeated tokens are one; names that repeat in a corpus are rows each.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,8 +26,8 @@ from folio.operators.shared import ranked, written
 BROADCAST_ROWS = 200_000
 #: Pairs of a cell of the grid in which tokens meet names, cells for each core, and how many lengths of names a token asks for.
 CELL, WAVES, COPIES = 50_000_000, 4, 8
-#: One name in so many gives the first floors of what the index leaves open, then better ones.
-SHARES = (64, 8)
+#: Pairs of such a cell where only the best are asked for; bounds and pairs that a task holds at once; names of the least bound that a token begins with.
+BOUNDS_CELL, BOUNDS, PAIRS, FIRST = 1_000_000_000, 4_000_000, 100_000, 64
 #: Deletions by which names are found in the index, and the longest tokens that are looked up there.
 EDITS, LONGEST = 2, 20
 
@@ -105,29 +108,33 @@ def _reachable(size: Column, score: Column) -> Column:
     return F.sequence(F.greatest(least, F.lit(1)).cast("int"), F.ceil(size + size * room / 2 + 1e-9).cast("int"))
 
 
-def _grid(tokens: int, names: int, cores: int) -> tuple[int, int]:
-    """Into how many parts tokens and names are dealt: at least WAVES cells for each core, of CELL pairs at most, with few copied rows."""
-    cells = max(WAVES * cores, -(-tokens * names // CELL))
+def _grid(tokens: int, names: int, cores: int, cell: int = CELL) -> tuple[int, int]:
+    """Into how many parts tokens and names are dealt: at least WAVES cells for each core, of so many pairs at most, with few copied rows."""
+    cells = max(WAVES * cores, -(-tokens * names // cell))
     own = min(cells, max(1, round((COPIES * tokens * cells / max(1, names)) ** 0.5)))
     return own, max(-(-cells // own), -(-names // BROADCAST_ROWS))
 
 
+def _dealt(tokens: DataFrame, names: DataFrame, lengths: Column, cell: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Tokens and names on a grid of cells, and the keys on which they meet: a length of names that the token asks for, and the parts of both."""
+    own, parts = _grid(tokens.count(), names.count(), tokens.sparkSession.sparkContext.defaultParallelism, cell)
+    dealt = lambda word, n: F.pmod(F.xxhash64(word), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    held = names.where("length(name) > 0").withColumns({"_size": F.length("name"), "_letters": _letters(F.col("name")), "_part": dealt("name", parts)}).withColumn("_group", every(own))
+    asked = tokens.withColumns({"_own": _letters(F.col("token")), "_n": F.length("token"), "_group": dealt("token", own)})
+    asked = asked.withColumn("_size", F.explode(lengths)).withColumn("_part", every(parts))
+    # A number of partitions that is asked for is not made smaller for the few bytes that these rows have.
+    keys = ["_size", "_part", "_group"]
+    return asked.repartition(own * parts, *keys), held.repartition(own * parts, *keys), keys
+
+
 def far(tokens: DataFrame, names: DataFrame) -> DataFrame:
     """token, the columns of names, score: every pair with a score over 0 and no less than floor; tokens: token, floor.
 
     Each part of the tokens meets each part of the names in a cell, which has one task for the names of a length: its names are
     held, its tokens pass. Pairs of the right lengths meet; the letters of both bound the distance before it is computed.
     """
-    cores = tokens.sparkSession.sparkContext.defaultParallelism
-    own, parts = _grid(tokens.count(), names.count(), cores)
-    dealt = lambda word, n: F.pmod(F.xxhash64(word), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    held = names.withColumns({"_size": F.length("name"), "_letters": _letters(F.col("name")), "_part": dealt("name", parts)}).withColumn("_group", every(own))
-    asked = tokens.withColumns({"_own": _letters(F.col("token")), "_n": F.length("token"), "_group": dealt("token", own)})
-    asked = asked.withColumn("_size", F.explode(_reachable(F.col("_n"), F.col("floor")))).withColumn("_part", every(parts))
-    # A number of partitions that is asked for is not made smaller for the few bytes that these rows have.
-    keys = ["_size", "_part", "_group"]
-    asked, held = asked.repartition(own * parts, *keys), held.repartition(own * parts, *keys)
+    asked, held, keys = _dealt(tokens, names, _reachable(F.length("token"), F.col("floor")), CELL)
     pairs = asked.join(held.hint("shuffle_hash"), keys)
     apart, shorter = F.abs(F.col("_n") - F.col("_size")), F.least("_n", "_size")
     # Edits that the floor allows, and those that the letters ask for. The distance is computed where the first are no fewer, and
@@ -154,40 +161,134 @@ def _kth(scored: DataFrame, k: int) -> DataFrame:
     return scored.select("token", "score", F.row_number().over(order).alias("_r")).where(F.col("_r") == k).select("token", F.col("score").alias("floor"))
 
 
+def _codes(words: pa.ChunkedArray, size: int) -> np.ndarray:
+    """The code points of words of one length: a row for each place."""
+    codes = np.array(words.to_pylist(), f"U{size}").view(np.uint32).reshape(-1, size).T
+    return np.ascontiguousarray(codes, np.uint8 if codes.size and codes.max() < 256 else np.uint32)
+
+
+def _distances(a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
+    """Edit distances of the pairs of columns of a and b as far as most; what is more may be any number over most."""
+    n, m, kind = len(a), len(b), np.uint8 if len(a) + len(b) < 120 else np.int32
+    # A path of so many edits is never farther from the diagonal.
+    reach, none = max(n - m, m - n, (most + abs(n - m)) // 2), np.full(a.shape[1], n + m + 1, kind)
+    row = [np.full(a.shape[1], j, kind) if j <= reach else none for j in range(m + 1)]
+    for i in range(n):
+        low = max(0, i - reach)
+        before, row[low] = row[low], np.full(a.shape[1], i + 1, kind) if low == 0 and i < reach else none
+        for j in range(low, min(m, i + reach + 1)):
+            here = np.minimum(row[j], row[j + 1])
+            here += 1
+            before, row[j + 1] = row[j + 1], np.minimum(here, before + (a[i] != b[j]), out=here)
+    return row[m]
+
+
+def _nearest(k: int):
+    """Of tokens and the names of one length: the pairs of each token's k best names, and all that tie with the k-th, that reach its floor."""
+
+    def compared(own, names, text, n, apart, allowed):
+        """Rows of tokens (all of length n) and of names, and distances."""
+        mine, letters = own["_own"].to_numpy().view(np.uint64), names["_letters"].to_numpy().view(np.uint64)
+        asked, bits, ones = _codes(own["token"], n), np.bitwise_count(mine), np.bitwise_count(letters)
+        if asked.dtype != text.dtype:
+            asked, text = asked.astype(np.uint32), text.astype(np.uint32)
+        gaps = {b: np.abs(ones.astype(np.int16) - b).astype(np.uint8) for b in set(bits.tolist())}
+
+        def measured(rows, at, most):
+            for i in range(0, len(rows), PAIRS):
+                r, c = rows[i : i + PAIRS], at[i : i + PAIRS]
+                yield _distances(asked.take(r, 1), text.take(c, 1), int(most[r].max()))
+
+        width = n + len(text) + 1
+        step = max(1, BOUNDS // max(1, len(letters)))
+        for start in range(0, len(mine), step):
+            most, ends = allowed.copy(), range(start, min(start + step, len(mine)))
+            # Twice the edits that the letters ask for: the sum of what each has alone, and the difference of both numbers.
+            bounds = [np.bitwise_count(mine[t] ^ letters) + gaps[bits[t].item()] for t in ends]
+            level = [next(x for x in range(most[t] + 1) if x == most[t] or np.count_nonzero(b <= 2 * x) >= max(FIRST, k)) for t, b in zip(ends, bounds)]
+            parts, counts = [], np.zeros((len(ends), width), np.int64)
+            for again in (False, True):
+                at = [np.flatnonzero((b > 2 * x) & (b <= 2 * most[t]) if again else b <= 2 * x) for t, b, x in zip(ends, bounds, level)]
+                rows, at = np.repeat(np.arange(ends.start, ends.stop), [len(x) for x in at]), np.concatenate(at)
+                found = np.concatenate([np.empty(0, np.uint8), *measured(rows, at, most)])
+                good = found <= most[rows]
+                parts.append((rows[good], at[good], found[good].astype(np.int64)))
+                rows, _, found = parts[-1]
+                counts += np.bincount((rows - start) * width + found, minlength=counts.size).reshape(counts.shape)
+                # The k-th least distance, where there are so many.
+                most[start : ends.stop] = np.minimum(most[start : ends.stop], (counts.cumsum(1) < k).sum(1))
+            rows, at, found = (np.concatenate(x) for x in zip(*parts))
+            good = found <= most[rows]
+            yield rows[good], at[good], found[good]
+
+    def cell(tokens: pa.Table, names: pa.Table) -> pa.Table:
+        out = []
+        if len(tokens) and len(names):
+            size = names["_size"][0].as_py()
+            text, lengths = _codes(names["name"], size), tokens["_n"].to_numpy()
+            for n in set(lengths.tolist()):
+                own, apart, shorter = tokens.filter(pa.array(lengths == n)), abs(n - size), min(n, size)
+                # Edits that the floor allows; with as many as the shorter length the score is 0.
+                allowed = np.minimum(np.floor(shorter * (1 - own["floor"].to_numpy() / 100) + 1e-9), shorter - 1).astype(np.int64) - apart
+                own, allowed = own.filter(pa.array(allowed >= apart)), allowed[allowed >= apart]
+                for rows, at, found in compared(own, names, text, n, apart, allowed) if len(own) else ():
+                    score = (1 - (found + apart) / shorter) * 100
+                    held = names.select([c for c in names.column_names if not c.startswith("_")]).take(pa.array(at))
+                    out.append(held.add_column(0, "token", own["token"].take(pa.array(rows))).append_column("score", pa.array(score)))
+        if out:
+            return pa.concat_tables(out)
+        empty = names.select([c for c in names.column_names if not c.startswith("_")]).slice(0, 0)
+        return empty.add_column(0, "token", pa.array([], pa.string())).append_column("score", pa.array([], pa.float64()))
+
+    return cell
+
+
+def closest(tokens: DataFrame, names: DataFrame, k: int, lengths: Column | None = None) -> DataFrame:
+    """token, the columns of names, score: at least each token's k best names of those lengths (all that reach its floor), and all that tie
+    with the k-th, as far as they score over 0 and no less than floor; tokens: token, floor.
+
+    The cells of far(), but a token has few rows for each: the letters of all pairs of a cell are compared as arrays, then the distances of
+    the likeliest names, whose k-th limits how many more are computed.
+    """
+    asked, held, keys = _dealt(tokens, names, _reachable(F.length("token"), F.col("floor")) if lengths is None else lengths, BOUNDS_CELL)
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in names.schema]
+    return asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInArrow(_nearest(k), ", ".join(["token string", *kinds, "score double"]))
+
+
 def raised(tokens: DataFrame, names: DataFrame, k: int) -> DataFrame:
-    """token and floor with higher floors: of any part of the names the k-th best score is one that k of all names reach.
+    """token and floor with higher floors: the k-th best score of the names of a token's own length is one that k of all names reach.
 
-    Only the bound comes from a part; far() then meets all names, and computes and returns far fewer distances.
+    Only the bound comes from those names; closest() then meets all that can reach it, which are few.
     """
-    for share in SHARES:
-        some = names.where(F.pmod(F.xxhash64("name", F.lit(share)), F.lit(share)) == 0)
-        best = _kth(far(tokens, some), k).withColumnRenamed("floor", "_more")
-        both = tokens.join(best, "token", "left")
-        tokens = written(both.select("token", F.greatest("floor", F.coalesce("_more", F.lit(0.0))).alias("floor")), "floors")
-    return tokens
+    best = _kth(closest(tokens, names, k, F.array(F.length("token"))), k).withColumnRenamed("floor", "_more")
+    both = tokens.join(best.hint("merge"), "token", "left")
+    return written(both.select("token", F.greatest("floor", F.coalesce("_more", F.lit(0.0))).alias("floor")), "floors")
 
 
 def contenders(tokens: DataFrame, names: DataFrame, k: int) -> DataFrame:
-    """token, name, weight, idx, score: for each token at least its k best names that score over 0, and all that tie with the k-th."""
+    """token, name, weight, idx, score: for each token at least its k best names that score over 0, and all that tie with the k-th.
+
+    Tokens and names take few bytes for their number, so no join may send them to all executors, which would pass them through the driver.
+    """
     names = names.select("name", "weight", "idx")
     tokens = written(tokens.where("length(token) > 0").select("token").distinct(), "tokens")
     found = []
     if k == 1:  # a name that equals its token has the highest score, which no other has
-        same = tokens.join(names, tokens.token == names.name).select("token", *names.columns, F.lit(100.0).alias("score"))
+        same = tokens.join(names.hint("merge"), tokens.token == names.name).select("token", *names.columns, F.lit(100.0).alias("score"))
         found.append(written(same, "equal"))
-        tokens = written(tokens.join(found[-1].select("token").distinct(), "token", "left_anti"), "tokens")
+        tokens = written(tokens.join(found[-1].select("token").distinct().hint("merge"), "token", "left_anti"), "tokens")
     if not tokens.isEmpty():
         close = written(near(tokens, names).withColumn("score", similarity(F.col("token"), F.col("name"))), "near").where("score > 0")
         # The k-th best score of each token, if it has so many; the rest of its names score no more than the bound.
-        both = tokens.join(_kth(close, k), "token", "left").withColumn("floor", F.coalesce("floor", F.lit(0.0)))
+        both = tokens.join(_kth(close, k).hint("merge"), "token", "left").withColumn("floor", F.coalesce("floor", F.lit(0.0)))
         bound = F.when(F.length("token") <= LONGEST, _bound(F.length("token"), EDITS)).otherwise(F.lit(100.0))
         settled = (F.col("floor") > bound) | (bound <= 0)
         both = written(both.withColumn("settled", settled), "settled")
-        found.append(close.join(both.where("settled").select("token"), "token"))
+        found.append(close.join(both.where("settled").select("token").hint("merge"), "token"))
         open_ = both.where("NOT settled").select("token", "floor")
         if not open_.isEmpty():
             held = written(names, "corpus")
-            found.append(far(raised(open_, held, k), held))
+            found.append(closest(raised(open_, held, k), held, k))
     if not found:
         return tokens.join(names, F.lit(False)).withColumn("score", F.lit(0.0))
     out = found[0]
@@ -213,7 +314,7 @@ def best_names(tokens: DataFrame, names: DataFrame, rising: bool, min_score: flo
     prior = -F.col("weight") if rising else F.col("weight")
     found = contenders(tokens, names, 1).where(F.col("score") >= min_score)
     best = found.groupBy("token").agg(F.max_by("name", F.struct("score", prior.alias("w"), (-F.col("idx")).alias("i"))).alias("best"))
-    out = tokens.where("length(token) > 0").distinct().join(best, "token", "left")
+    out = tokens.where("length(token) > 0").distinct().join(best.hint("merge"), "token", "left")
     if min_score > 0:
         return out.withColumn("best", F.coalesce("best", "token"))
     head = names.where("idx = 0").agg(F.first("name").alias("head"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -166,3 +167,47 @@ def test_floors_keep_pairs_few(spark, matched):
         floors = {r.token: r.floor for r in correct.raised(open_, names, k).collect()}
         assert set(floors) == set(scores) and sum(f > 0 for f in floors.values()) > len(floors) / 2
         assert all(f <= max(0.0, sorted((s for s, *_ in scores[t]), reverse=True)[k - 1]) + 1e-6 for t, f in floors.items())
+
+
+def test_closest_returns_the_best_and_their_ties_alone(spark, matched, monkeypatch):
+    """What the index leaves open: each token brings few rows back, in cells of any size, and none of the k best is lost."""
+    (_, names), scores = matched
+    odd = [("ŁÓDŹ" * 3, None, 9000), ("łódź" * 3, 7, 9001), ("z" * 150, 1, 9002), (None, 1, 9003), ("", 1, 9004)]
+    names = names.unionByName(spark.createDataFrame(odd, names.schema))
+    more = {"łódź" * 2 + "łÓdz": odd[1][0], "z" * 149: odd[2][0]}
+    tokens = spark.createDataFrame([(t, 0.0) for t in [*scores, *more]], "token string, floor double")
+    for k, step in ((1, 1 << 20), (5, 500)):
+        monkeypatch.setattr(correct, "BOUNDS", step)
+        monkeypatch.setattr(correct, "PAIRS", step)
+        raised = correct.raised(tokens, names, k)
+        found = {}
+        for r in correct.closest(raised, names, k).collect():
+            assert r.score == pytest.approx(naive_score(r.token, r.name)) and r.score > 0
+            found.setdefault(r.token, set()).add(r.name)
+        for t, own in scores.items():
+            over = sorted((s for s, *_ in own if s > 1e-9), reverse=True)
+            least = over[min(k, len(over)) - 1] if over else 101
+            assert found.get(t, set()) >= {n for s, _, _, n in own if s >= least - 1e-9}
+        assert all(name in found[t] for t, name in more.items())
+        assert sum(map(len, found.values())) < len(scores) * names.count() / 10
+
+
+def test_distances_as_far_as_they_are_asked_for():
+    rng = random.Random(5)
+    for n, m in ((1, 1), (1, 4), (5, 2), (8, 8), (9, 7), (7, 10)):
+        a, b = (["".join(rng.choices("abc", k=size)) for _ in range(60)] for size in (n, m))
+        codes = [correct._codes(pa.chunked_array([x]), len(x[0])) for x in (a, b)]
+        for most in range(abs(n - m), 10):
+            for x, y, got in zip(a, b, correct._distances(*codes, most)):
+                wanted = naive_distance(x, y)
+                assert got == wanted if wanted <= most else got > most
+
+
+def test_no_words_are_sent_to_all_executors(matched):
+    """Best names of any number of tokens: only the corpus's first names, of a fixed number, are broadcast."""
+    (tokens, names), _ = matched
+    for k in (1, 5):
+        found = correct.contenders(tokens, names, k)
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "FlatMapCoGroupsInArrow" in plan and "Broadcast" not in plan
