@@ -25,7 +25,7 @@ from folio.operators.shared import ranked, written
 #: Names of a part of a corpus at most, which a task holds at once; none are sent to all executors.
 BROADCAST_ROWS = 200_000
 #: Pairs of a cell of the grid in which tokens meet names, cells for each core, and how many lengths of names a token asks for.
-CELL, WAVES, COPIES = 50_000_000, 4, 8
+CELL, WAVES, COPIES = 10_000_000, 4, 8
 #: Pairs of such a cell where only the best are asked for; bounds and pairs that a task holds at once; names of the least bound that a token begins with.
 BOUNDS_CELL, BOUNDS, PAIRS, FIRST = 1_000_000_000, 4_000_000, 100_000, 64
 #: Deletions by which names are found in the index, and the longest tokens that are looked up there.

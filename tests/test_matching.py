@@ -211,3 +211,16 @@ def test_no_words_are_sent_to_all_executors(matched):
         found.collect()
         plan = found._jdf.queryExecution().executedPlan().toString()
         assert "FlatMapCoGroupsInArrow" in plan and "Broadcast" not in plan
+
+
+def test_cells_stay_small_as_tokens_and_names_grow(spark):
+    """A few hundred tokens and many names: a task's pairs are bounded, and no length of names makes a task much longer than the others."""
+    for t, n in ((690, 619_000), (2_000, 3_000_000), (20_000, 1_000_000)):
+        own, parts = correct._grid(t, n, 12)
+        assert t * n / (own * parts) <= 10_000_000
+    own, parts = correct._grid(690, 619_000, 6)
+    lengths = {6: 0.1, 7: 0.1, 8: 0.3, 9: 0.2, 10: 0.2, 11: 0.1}
+    cells = [(n, p, g, share) for n, share in lengths.items() for p in range(parts) for g in range(own)]
+    tasks = spark.createDataFrame(cells, "n int, p int, g int, share double").withColumn("task", F.pmod(F.hash("n", "p", "g"), F.lit(own * parts)))
+    load = sorted(r.load for r in tasks.groupBy("task").agg(F.sum("share").alias("load")).collect())
+    assert load[-1] / (own * parts) * 690 * 619_000 < 30_000_000
